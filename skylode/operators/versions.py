@@ -21,10 +21,9 @@ def current_rows(df: DataFrame, key: str, version: str, *columns: str) -> DataFr
     columns = tuple(dict.fromkeys(c for c in columns if c != key))
     kinds = dict(df.dtypes)
     rows = df.where(F.col(key).isNotNull())
-    if all(kinds[c] in _FLAT for c in columns) and columns:
-        order = F.coalesce(F.unix_micros(F.col(version).cast("timestamp")), F.lit(-(2**63) + 1)) if kinds[version].startswith("timestamp") else F.col(version)
-        best = [F.max_by(c, order).alias(c) for c in columns]
-        return rows.groupBy(key).agg(*best)
+    if columns and kinds[version].startswith("timestamp") and all(kinds[c] in _FLAT for c in columns):
+        order = F.coalesce(F.col(version), F.lit("0001-01-01").cast(kinds[version]))
+        return rows.groupBy(key).agg(*[F.max_by(c, order).alias(c) for c in columns])
     packed = F.max(F.struct(F.col(version).alias("v"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).alias("r")
     got = rows.groupBy(key).agg(packed)
     return got.select(key, *[F.col(f"r.c{i}").alias(c) for i, c in enumerate(columns)])
