@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylode.llm import bpe, cooccur, dyadic, ranking, selection
+from skylode.llm import abuse, bpe, cooccur, dyadic, mixture, ranking, selection
 from skylode.operators.versions import current_rows
 from skylode.sources.tables import read_table
 
@@ -114,6 +114,43 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(read_table(spark, folder, "documents", "doc_id", "text")).select("doc_id", "ids")
 
 
+def _mixed(spark: SparkSession, folder: str) -> mixture.Mixture:
+    sizes = bpe.count_tokens(read_table(spark, folder, "documents", "doc_id", "source", "text"))
+    return mixture.Mixture(sizes, read_table(spark, folder, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, source, n_tokens, rate, copies) of the documents in the mixture."""
+    return _mixed(spark, folder).rows().select(F.col("id").alias("doc_id"), F.col("src").alias("source"), F.col("size").alias("n_tokens"), "rate", "copies")
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares and repeats that the mixture reaches."""
+    return _mixed(spark, folder).report()
+
+
+def _judged(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents", "doc_id", "source", "text")
+    texts, labels = abuse.labelled(documents, read_table(spark, folder, "doc_labels"))
+    model = abuse.train(texts, labels)
+    return abuse.score(documents, model).withColumn("abusive", (F.col("score") >= model.threshold).cast("int"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id) of documents with an abusive, hateful or sexually explicit passage."""
+    return _judged(spark, folder).where("abusive = 1").select("doc_id")
+
+
+def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's score, and whether it counts as abusive."""
+    return _judged(spark, folder).select("doc_id", "source", "score", "abusive")
+
+
+def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, abusive documents and their rate for each source (NULL is one of its own)."""
+    return _judged(spark, folder).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("abusive").alias("abusive"), F.avg("abusive").alias("rate"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_pairs": p2_pairs,
@@ -124,6 +161,11 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_ranking": p6_ranking,
     "p7_ids": p7_ids,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_scores": p9_scores,
+    "p9_rates": p9_rates,
 }
 
 _P2 = f"""
