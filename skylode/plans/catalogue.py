@@ -6,6 +6,6 @@ from types import ModuleType
 
 
 def modules() -> tuple[ModuleType, ...]:
-    from skylode.plans import training
+    from skylode.plans import sequences, training
 
-    return (training,)
+    return (training, sequences)
