@@ -59,7 +59,7 @@ def combine(scores: Mapping[str, Column], weights: Mapping[str, float] = WEIGHTS
 
 def fails_floor(scores: Mapping[str, Column], floors: Mapping[str, float]) -> Column:
     """Text that names the first score below its floor, or NULL; a missing score never fails."""
-    cases = [F.when(scores[n] < f, F.format_string(f"{n.removesuffix('_score')} below floor (%.2f < {f:.2f})", scores[n])) for n, f in floors.items()]
+    cases = [F.when(scores[n] < f, F.format_string(f"{n.removesuffix('_score')} below floor (%.2f < {f:.2f})", rounded(scores[n], 2))) for n, f in floors.items()]
     return F.coalesce(*cases) if cases else F.lit(None).cast("string")
 
 

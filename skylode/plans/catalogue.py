@@ -6,6 +6,6 @@ from types import ModuleType
 
 
 def modules() -> tuple[ModuleType, ...]:
-    from skylode.plans import sequences, training
+    from skylode.plans import sequences, shaping, streams, training
 
-    return (training, sequences)
+    return (training, sequences, shaping, streams)
