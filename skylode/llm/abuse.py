@@ -229,7 +229,7 @@ class Model:
     weight: np.ndarray
     bias: float
     lexicon: dict[str, tuple[int, float]]
-    threshold: float = 0.3
+    threshold: float = 0.5
     _table: np.ndarray | None = field(default=None, repr=False)
     _words: Lexicon | None = field(default=None, repr=False)
 
@@ -250,15 +250,16 @@ class Model:
             total += sums[stop] - sums[start]
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, text, total)
-        return 1 / (1 + np.exp(-np.maximum(worst, -700)))
+        return np.where(np.isneginf(worst), 0.0, 1 / (1 + np.exp(-np.maximum(worst, -700))))
 
 
-def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(), *, rounds: tuple[tuple[int, float, float], ...] = ((2, 0.0, 1.0), (3, 0.045, 0.9), (3, 0.06, 0.8)), most_weight: int = 50, seed: int = 11, threshold: float = 0.3, **rates: float) -> Model:
+def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(), *, rounds: tuple[tuple[int, float, float], ...] = ((2, -0.5, 5.0), (3, -0.2, 4.0), (3, 0.0, 0.0)), most_weight: int = 50, positive_weight: float = 3.0, seed: int = 11, threshold: float = 0.5, **rates: float) -> Model:
     """A model of labelled texts (1 abusive, 0 not; between them if raters disagree).
 
-    ``rounds`` gives each round's passes over the passages and two bounds. Which passage of an abusive text is abusive
-    isn't labelled: the first round takes all of them, the later ones the one that the round before found worst. A
-    text called abusive whose worst passage then scored below the lower bound, and a harmless one with a
+    ``rounds`` gives each round's passes over the passages and two bounds on evidence. Which passage of an abusive text is abusive
+    isn't labelled: the first round takes all of them, the later ones the one that the round before found worst,
+    where each half of the texts is judged by a model of the other half. A text called abusive whose worst
+    passage then has less evidence than the lower bound (0: the words speak neither way), and a harmless one with a
     passage above the upper, are taken for mistakes of the raters and left out. Equal passages are learnt as
     one, with their mean label and the weight of up to ``most_weight`` of them, so that mistakes among common
     passages are outvoted. One class only gives a model that scores everything alike.
@@ -287,15 +288,10 @@ def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(),
         if which[i] == len(sets):
             sets.append(b)
     rng = np.random.default_rng(seed)
-    model = Ftrl(n, **rates)
-    score: np.ndarray | None = None
-    for passes, low, high in rounds:
-        use = np.ones(len(text), bool)
-        if score is not None:
-            worst = np.full(len(texts), -np.inf)
-            np.maximum.at(worst, text, score)
-            use = (labels[text] <= 0.5) | (score >= worst[text])
-            use &= ~(((labels > 0.5) & (worst < low)) | ((labels <= 0.5) & (worst > high)))[text]
+    half = np.array([_hash(t) >> 40 & 1 for t in texts], np.int64)[text]
+
+    def fitted(use: np.ndarray, passes: int, positive: float = 1.0) -> tuple[Ftrl, np.ndarray]:
+        """A model of the passages in use, and the evidence (log odds beyond the intercept) it sees in every passage."""
         count = np.bincount(which[use], minlength=len(sets))
         label = np.bincount(which[use], weights=labels[text[use]], minlength=len(sets)) / np.maximum(1, count)
         model = Ftrl(n, **rates)
@@ -303,10 +299,21 @@ def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(),
         for _ in range(passes):
             rng.shuffle(order)
             for i in order.tolist():
-                model.learn(sets[i], float(label[i]), float(min(most_weight, count[i])))
+                model.learn(sets[i], float(label[i]), float(min(most_weight, count[i])) * (positive if label[i] > 0.5 else 1.0))
         w = model.weights(np.arange(n + 1))
-        total = np.array([w[b].sum() for b in sets]) if sets else np.zeros(0)
-        score = 1 / (1 + np.exp(-np.clip(total + model.base, -35, 35)))[which]
+        return model, np.array([w[b[:-1]].sum() for b in sets])[which] if sets else np.zeros(0)
+
+    model, use = Ftrl(n, **rates), np.ones(len(text), bool)
+    for i, (passes, low, high) in enumerate(rounds):
+        if i == len(rounds) - 1:
+            model, _ = fitted(use, passes, positive_weight)
+            break
+        # each half is scored by a model of the other, so that no text vouches for its own label
+        score = np.where(half == 0, fitted(use & (half == 1), passes)[1], fitted(use & (half == 0), passes)[1])
+        worst = np.full(len(texts), -np.inf)
+        np.maximum.at(worst, text, score)
+        use = (labels[text] <= 0.5) | (score >= worst[text])
+        use &= ~(((labels > 0.5) & (worst < low)) | ((labels <= 0.5) & (worst > high)))[text]
     w = model.weights(np.arange(n + 1))
     kept = np.flatnonzero(w[:n])
     return Model(shape, kept, w[kept], float(w[n]) + model.base, lexicon, threshold)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _ROWS_AT_ONCE = 1 << 19
 _HELD_COUNTERS = 1 << 24
@@ -112,6 +113,11 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data[1:]), np.int32 if data[:1] == b"4" else np.int64).astype(np.int64)
 
 
+def _batch(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
+    """Rows as a batch of exactly the declared types."""
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
+
+
 def _sketch_type(df: DataFrame, groups: Sequence[str]) -> T.StructType:
     return T.StructType([*[df.schema[g] for g in groups], T.StructField("metric", T.StringType()), T.StructField("sketch", T.BinaryType())])
 
@@ -125,6 +131,7 @@ def build(df: DataFrame, groups: Sequence[str], metrics: dict[str, str], shape:
     names, columns = list(metrics), list(metrics.values())
     rows = df.where(" AND ".join(f"`{g}` IS NOT NULL" for g in groups) or "true").select(*groups, *[F.col(f"`{c}`").cast("double").alias(f"__m{i}") for i, c in enumerate(columns)], (F.col(f"`{weight}`").cast("bigint") if weight else F.lit(1).cast("bigint")).alias("__w"))
     schema = _sketch_type(rows, groups)
+    kind = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[tuple, int] = {}
@@ -154,8 +161,7 @@ def build(df: DataFrame, groups: Sequence[str], metrics: dict[str, str], shape:
         def give() -> Iterator[pa.RecordBatch]:
             out = [(*v, names[i], _packed(counters[j, i])) for v, j in ids.items() for i in range(len(names)) if counters[j, i].any()]
             for s in range(0, len(out), 64):
-                columns = list(zip(*out[s : s + 64], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in columns], schema.fieldNames())
+                yield _batch(out[s : s + 64], kind)
 
         for b in batches:
             if b.num_rows:
@@ -182,7 +188,7 @@ def _add_up(parts: DataFrame, keys: list[str]) -> DataFrame:
         key, total = None, None
 
         def one() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*[pa.array([v]) for v in key], pa.array([_packed(total)])], [*keys, "sketch"])
+            return _batch([(*key, _packed(total))], kind)
 
         for b in batches:
             at = list(zip(*[b.column(k).to_pylist() for k in keys], strict=True))
@@ -198,6 +204,7 @@ def _add_up(parts: DataFrame, keys: list[str]) -> DataFrame:
             yield one()
 
     schema = T.StructType([*[parts.schema[k] for k in keys], parts.schema["sketch"]])
+    kind = to_arrow_schema(schema)
     return parts.select(*keys, "sketch").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
@@ -223,6 +230,7 @@ def percentiles(merged: DataFrame, groups: Sequence[str], pcts: Sequence[float],
     keys = [*groups, "metric"]
     more = [T.StructField("pct", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("error", T.DoubleType())]
     schema = T.StructType([*[merged.schema[k] for k in keys], *more])
+    kind = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -233,6 +241,6 @@ def percentiles(merged: DataFrame, groups: Sequence[str], pcts: Sequence[float],
                 if n > 0:
                     out += [(*key, float(p), n, shape.percentile(counters, p), shape.error) for p in pcts]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out, strict=True)], schema.fieldNames())
+                yield _batch(out, kind)
 
     return merged.mapInArrow(run, schema)
