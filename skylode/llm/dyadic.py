@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-_ROWS_AT_ONCE = 1 << 19
+_ROWS_AT_ONCE = 1 << 17
 _HELD_COUNTERS = 1 << 24
 
 
@@ -211,11 +211,11 @@ def _add_up(parts: DataFrame, keys: list[str]) -> DataFrame:
 def merge(parts: DataFrame, groups: Sequence[str], tasks: int | None = None) -> DataFrame:
     """One sketch for each group and metric: the sum of those in ``parts``, from whatever rows, days or tasks.
 
-    ``tasks`` says how many sketches a group may have (by default the partitions of ``parts``); if they are many, they are
-    first added up in salted portions, so that no task reads all of them.
+    ``tasks`` says how many sketches a group may have (by default as many as a shuffle has partitions); if they are many,
+    they are first added up in salted portions, so that no task reads all of them.
     """
     keys = [*groups, "metric"]
-    tasks = parts.rdd.getNumPartitions() if tasks is None else tasks
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")) if tasks is None else tasks
     if tasks > 64:
         salt = F.pmod(F.spark_partition_id(), F.lit(math.isqrt(tasks)))
         parts = _add_up(parts.withColumn("__salt", salt), [*keys, "__salt"])

@@ -52,8 +52,7 @@ def _percentiles(spark: SparkSession, folder: str, pcts: tuple[float, ...]) -> D
     rows = shots.join(read_table(spark, folder, "shot_details", "id", "country").where("country IS NOT NULL"), "id")
     groups = ["country", "motion_class"]
     parts = dyadic.build(rows, groups, {"technical": "technical_score", "aesthetic": "aesthetic_score"})
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    got = dyadic.percentiles(dyadic.merge(parts, groups, tasks), groups, pcts)
+    got = dyadic.percentiles(dyadic.merge(parts, groups), groups, pcts)
     return got.select(*groups, F.col("metric").alias("score"), F.col("pct").cast("int").alias("pct"), "n", "value", "error")
 
 
