@@ -104,7 +104,7 @@ class KdTree:
         return out
 
 
-def pairs_within(a: KdTree, b: KdTree | None, r: float, at_once: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def pairs_within(a: KdTree, b: KdTree | None, r: float, at_once: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs at most ``r`` apart: between two trees, or inside ``a`` (each pair once) without ``b``.
 
     Both trees are descended together, level by level, over all node pairs whose boxes come within ``r``;
@@ -178,8 +178,8 @@ def near_pairs(df: DataFrame, radius_m: float, *, key: str = "id", lat: str = "g
     every = max(1, n // sample_rows)
     depth = max(0, min(20, math.ceil(math.log2(max(1, n / cell_rows)))), 0)
     if depth:
-        got = at.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(every)) == 0).select("lat", "lon").toPandas()
-        xyz = unit_vectors(got["lat"].to_numpy(), got["lon"].to_numpy())
+        got = at.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(every)) == 0).select("lat", "lon").toArrow()
+        xyz = unit_vectors(got.column("lat").to_numpy(), got.column("lon").to_numpy())
     else:
         xyz = np.zeros((0, 3))
     axis, place = fit_splits(xyz, depth)

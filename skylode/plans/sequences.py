@@ -186,3 +186,73 @@ SQL["w11_reversals"] = f"""WITH RECURSIVE {_BUCKETS},
     z AS (SELECT scene, max_by(k, i) AS reversals FROM t GROUP BY scene),
     q AS (SELECT scene, max(speed) AS hi, min(speed) AS lo, min_by(speed, second) AS head FROM b GROUP BY scene)
     SELECT z.scene, z.reversals, floor(CASE WHEN hi > 0 THEN hi / greatest(lo, 1e-2) ELSE 1e0 END * 1e3 + 0.5) / 1e3 AS spread, CASE WHEN head < 1e-2 THEN 1 ELSE 0 END AS eases FROM z JOIN q ON q.scene = z.scene"""
+
+
+def _joined_sql(runs: str, name: str) -> str:
+    """Adjoining usable runs as one, by recursion over a scene's runs."""
+    return f"""
+    {name}_t AS (SELECT scene, run AS i, 0 AS grp, run_start AS a, run_end AS b, cls FROM {runs} WHERE run = 0
+        UNION ALL
+        SELECT t.scene, r.run, CASE WHEN t.cls <> 'reposition' AND r.cls <> 'reposition' THEN t.grp ELSE t.grp + 1 END, CASE WHEN t.cls <> 'reposition' AND r.cls <> 'reposition' THEN t.a ELSE r.run_start END, r.run_end,
+        CASE WHEN t.cls <> 'reposition' AND r.cls <> 'reposition' AND t.b - t.a >= r.run_end - r.run_start THEN t.cls ELSE r.cls END FROM {name}_t AS t JOIN {runs} AS r ON r.scene = t.scene AND r.run = t.i + 1),
+    {name} AS (SELECT scene, CAST(grp AS BIGINT) AS run, max_by(cls, i) AS cls, min(a) AS run_start, max(b) AS run_end FROM {name}_t GROUP BY scene, grp)"""
+
+
+def _swept_sql(runs: str, name: str, least: str = "3e0") -> str:
+    """Short segments extended by the next, a short tail folded back."""
+    return f"""
+    {name}_t AS (SELECT scene, run AS i, 0 AS grp, run_start AS a, run_end AS b, cls FROM {runs} WHERE run = 0
+        UNION ALL
+        SELECT t.scene, r.run, CASE WHEN t.b - t.a < {least} THEN t.grp ELSE t.grp + 1 END, CASE WHEN t.b - t.a < {least} THEN t.a ELSE r.run_start END, r.run_end, CASE WHEN t.b - t.a < {least} THEN t.cls ELSE r.cls END
+        FROM {name}_t AS t JOIN {runs} AS r ON r.scene = t.scene AND r.run = t.i + 1),
+    {name}_g AS (SELECT scene, grp, max_by(cls, i) AS cls, max_by(a, i) AS a, max(b) AS b FROM {name}_t GROUP BY scene, grp),
+    {name}_l AS (SELECT *, max(grp) OVER (PARTITION BY scene) AS last FROM {name}_g),
+    {name}_f AS (SELECT *, bool_or(grp = last AND grp > 0 AND b - a < {least}) OVER (PARTITION BY scene) AS fold, max(b) OVER (PARTITION BY scene) AS stop FROM {name}_l),
+    {name} AS (SELECT scene, CAST(grp AS BIGINT) AS run, cls, a AS run_start, CASE WHEN fold AND grp = last - 1 THEN stop ELSE b END AS run_end FROM {name}_f WHERE NOT (fold AND grp = last))"""
+
+
+def _absorbed_sql(runs: str, name: str) -> str:
+    """The first short run joins its longer neighbour, again and again; equal neighbours then become one."""
+    short = "(x.b - x.a < CASE WHEN x.c = 'reposition' THEN 1e0 ELSE 3e0 END)"
+    return f"""
+    {name}_s AS (SELECT scene, list({{'a': run_start, 'b': run_end, 'c': cls}} ORDER BY run) AS v FROM {runs} GROUP BY scene),
+    {name}_r AS (SELECT scene, 0 AS step, v, list_position(list_transform(v, lambda x: {short}), true) AS pos FROM {name}_s
+        UNION ALL
+        SELECT scene, step + 1, w, list_position(list_transform(w, lambda x: {short}), true) FROM (
+            SELECT scene, step, list_concat(list_concat(v[1:j - 1], [{{'a': v[j].a, 'b': v[j + 1].b, 'c': CASE WHEN back THEN v[j].c ELSE v[j + 1].c END}}]), v[j + 2:]) AS w FROM (
+                SELECT *, CASE WHEN back THEN pos - 1 ELSE pos END AS j FROM (
+                    SELECT *, CASE WHEN pos = len(v) THEN true WHEN pos = 1 THEN false ELSE v[pos - 1].b - v[pos - 1].a >= v[pos + 1].b - v[pos + 1].a END AS back FROM {name}_r WHERE pos > 0 AND len(v) > 1) AS p) AS q) AS o),
+    {name}_e AS (SELECT scene, unnest(v) AS x, unnest(range(0, len(v))) AS i FROM (SELECT scene, max_by(v, step) AS v FROM {name}_r GROUP BY scene) AS m),
+    {name}_n AS (SELECT scene, i, x.a AS a, x.b AS b, x.c AS cls, CASE WHEN x.c = lag(x.c) OVER (PARTITION BY scene ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM {name}_e),
+    {name}_k AS (SELECT *, sum(fresh) OVER (PARTITION BY scene ORDER BY i) - 1 AS grp FROM {name}_n),
+    {name} AS (SELECT scene, CAST(grp AS BIGINT) AS run, min(cls) AS cls, min(a) AS run_start, max(b) AS run_end FROM {name}_k GROUP BY scene, grp)"""
+
+
+_SELECT = "SELECT scene, run, cls, run_start, run_end FROM "
+SQL["w05_merge_short"] = f"WITH RECURSIVE {_RUNS}, {_absorbed_sql('r','u')} {_SELECT} u"
+SQL["w06_merge_usable"] = f"WITH RECURSIVE {_RUNS}, {_joined_sql('r','u')} {_SELECT} u"
+SQL["w07_segment"] = f"WITH RECURSIVE {_RUNS}, {_absorbed_sql('r','u')}, {_joined_sql('u','y')} {_SELECT} y"
+SQL["w08_merge_segments"] = f"WITH RECURSIVE {_RUNS}, {_swept_sql('r','u')} {_SELECT} u"
+SQL["w09_cut_list"] = f"""WITH RECURSIVE {_SAMPLES},
+    m AS (SELECT *, CASE WHEN abs(dx - lag(dx) OVER (PARTITION BY scene ORDER BY ord)) > 32 THEN 1 ELSE 0 END AS jump FROM s),
+    p AS (SELECT *, sum(jump) OVER (PARTITION BY scene ORDER BY ord) AS part FROM m),
+    q AS (SELECT scene, CAST(part AS BIGINT) AS run, CAST(NULL AS VARCHAR) AS cls, min(start_s) AS run_start, max(end_s) AS stop FROM p GROUP BY scene, part),
+    r AS (SELECT scene, run, cls, run_start, CASE WHEN run = max(run) OVER (PARTITION BY scene) THEN stop + 75e-2 ELSE stop END AS run_end FROM q), {_swept_sql('r','u')} {_SELECT} u"""
+SQL["w13_windows"] = f"""WITH RECURSIVE {_BUCKETS},
+    n AS (SELECT scene, count(*) AS n FROM b GROUP BY scene),
+    c AS (SELECT scene, o, k FROM (SELECT scene, n, unnest(range(3, least(n, 8) + 1)) AS k FROM n WHERE n >= 3) AS l, (SELECT unnest(range(0, 1000)) AS o) AS x WHERE o + k <= n),
+    t AS (SELECT c.scene, c.o, c.k, 0 AS i, 0 AS turns, 0 AS way, speed AS anchor, speed AS lo, speed AS hi, speed AS head FROM c JOIN b ON b.scene = c.scene AND b.second = c.o
+        UNION ALL
+        SELECT t.scene, t.o, t.k, t.i + 1,
+        CASE WHEN greatest(anchor, speed) < 1e-2 OR abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1 THEN turns WHEN way <> 0 AND way <> sign(speed - anchor) THEN turns + 1 ELSE turns END,
+        CASE WHEN greatest(anchor, speed) < 1e-2 OR abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1 THEN way ELSE CAST(sign(speed - anchor) AS INTEGER) END,
+        CASE WHEN greatest(anchor, speed) < 1e-2 THEN speed WHEN abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1 THEN anchor ELSE speed END,
+        least(lo, speed), greatest(hi, speed), head FROM t JOIN b ON b.scene = t.scene AND b.second = t.o + t.i + 1 WHERE t.i + 1 < t.k),
+    f AS (SELECT scene, o, k, CASE WHEN hi > 0 THEN hi / greatest(lo, 1e-2) ELSE 1e0 END AS spread, head < 1e-2 AS eased FROM t WHERE i = k - 1 AND turns = 0),
+    g AS (SELECT *, bool_or(spread <= 3e0) OVER (PARTITION BY scene) AS strict FROM f),
+    m AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY k DESC, spread, o) AS rk FROM g WHERE spread <= 3e0 OR (NOT strict AND eased)),
+    y AS (SELECT scene, rk, [{{'o': o, 'e': o + k, 's': spread}}] AS taken FROM m WHERE rk = 1
+        UNION ALL
+        SELECT y.scene, m.rk, CASE WHEN len(list_filter(taken, lambda z: z.o < m.o + m.k AND m.o < z.e)) > 0 THEN taken ELSE list_concat(taken, [{{'o': m.o, 'e': m.o + m.k, 's': m.spread}}]) END FROM y JOIN m ON m.scene = y.scene AND m.rk = y.rk + 1),
+    z AS (SELECT scene, unnest(max_by(taken, rk)) AS w FROM y GROUP BY scene)
+    SELECT scene, CAST(w.o AS DOUBLE) AS win_start, CAST(w.e AS DOUBLE) AS win_end, floor(w.s * 1e3 + 0.5) / 1e3 AS spread FROM z"""

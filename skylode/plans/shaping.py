@@ -339,6 +339,7 @@ _VERSIONS = """
     x AS (SELECT id, max(size_bytes) + 1 AS size_bytes, max(CASE WHEN id % 2 = 0 THEN country END) AS country FROM sources WHERE id % 3 <> 1 GROUP BY id)
 """
 _HEAD = "[" + ", ".join(f"{((i * 37) % 11 - 5)}" for i in range(64)) + "]"
+_LIST = "CASE WHEN json_valid({c}) AND {c} LIKE '[%' THEN from_json({c}, '[\"VARCHAR\"]') ELSE CAST([] AS VARCHAR[]) END"
 SQL = {
     "f01_frame_rate": f"WITH c AS {_SRC} SELECT id, CASE WHEN id % 5 > 2 THEN floor(fps * 1000 + 0.5) / 1000 END AS fps FROM c",
     "f02_rotation": f"WITH c AS {_SRC} SELECT id, CASE WHEN id % 3 = 0 THEN ((-90 * (id % 7)) % 360 + 360) % 360 WHEN id % 3 = 1 THEN 90 ELSE 0 END AS degrees FROM c",
@@ -352,10 +353,16 @@ SQL = {
         concat('out/', {_SLUG.format(x="country", d="unknown-country")}, '/', {_YEAR}, '/', printf('%06d', id), '_', {_SLUG.format(x=_STEM, d="source")}, CASE WHEN coalesce(site, '') = '' THEN '' ELSE concat('_', {_SLUG.format(x="site", d="site")}) END, '.mp4') AS path,
         CASE WHEN coalesce(drone_model, '') = '' THEN 'Maker' ELSE concat('Maker ', drone_model) END AS model FROM c""",
     "f12_titles": "SELECT doc_id, coalesce(nullif(substr(regexp_replace(split_part(split_part(text, '.', 1), ',', 1), '^[\\s\\v]+|[\\s\\v]+$', '', 'g'), 1, 120), ''), 'Aerial Footage') AS title FROM documents",
+    "f13_keywords": f"""WITH c AS {_SHOT}, s AS {_SRC},
+        k AS (SELECT c.id, list_concat(list_concat(list_concat({_LIST.format(c="subject_tags")}, {_LIST.format(c="mood_tags")}), [s.country, s.site]), list_concat(CASE WHEN coalesce(s.drone_model, '') <> '' THEN ['aerial', 'drone'] ELSE CAST([] AS VARCHAR[]) END, CASE WHEN s.width >= 3840 THEN ['4k'] ELSE CAST([] AS VARCHAR[]) END)) AS raw FROM c JOIN s ON s.id = c.source_id),
+        t AS (SELECT id, list_filter(list_transform(raw, lambda x: nullif(lower(trim(replace(x, '-', ' '))), '')), lambda x: x IS NOT NULL) AS l FROM k)
+        SELECT id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '; ') AS keywords FROM t""",
     "f20_crops": f"""WITH c AS {_SRC}, r AS (SELECT *, CAST(width AS DOUBLE) / height AS q FROM c),
         s AS (SELECT id, q, width > 0 AND height > 0 AND abs(q - 9e0 / 16) >= 1e-3 AS cut, CAST(round_even(height * 9e0 / 16, 0) AS BIGINT) AS a, CAST(round_even(width * 16e0 / 9, 0) AS BIGINT) AS b, width, height FROM r)
         SELECT id, CASE WHEN cut THEN CASE WHEN q > 9e0 / 16 THEN greatest(2, a - a % 2) ELSE greatest(2, width - width % 2) END END AS crop_w, CASE WHEN cut THEN CASE WHEN q > 9e0 / 16 THEN greatest(2, height - height % 2) ELSE greatest(2, b - b % 2) END END AS crop_h FROM s""",
     "f33_last_wins": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) AS v WHERE rn = 1",
+    "f39_outside_vocabulary": f"""WITH c AS {_SHOT}, e AS (SELECT id, unnest(from_json(mood_tags, '["VARCHAR"]')) AS tag FROM c WHERE mood_tags LIKE '[%]' AND json_valid(mood_tags))
+        SELECT tag, count(DISTINCT id) AS n FROM e WHERE tag IS NOT NULL AND tag NOT IN ({", ".join(f"'{m}'" for m in tx.MOODS)}) GROUP BY tag""",
     "s03_probe": f"WITH c AS {_SRC} SELECT id, 125e-1 AS duration, CASE WHEN id % 2 = 0 THEN height ELSE width END AS width, CASE WHEN id % 2 = 0 THEN width ELSE height END AS height, 2997e-2 AS fps, codec, bitrate, 105e-1 AS gps_lat, -2025e-2 AS gps_lon, nullif(drone_model, '') AS drone_model FROM c",
     "s08_conformed": f"WITH c AS {_SRC} SELECT id, country, CAST(NULL AS VARCHAR) AS purged_at FROM c",
     "s09_upserted": f"WITH {_VERSIONS} SELECT coalesce(x.id, b.id) AS id, CASE WHEN x.id IS NOT NULL THEN x.size_bytes ELSE b.size_bytes END AS size_bytes, CASE WHEN x.id IS NOT NULL THEN x.country ELSE b.country END AS country, b.width FROM b FULL JOIN x ON x.id = b.id",
