@@ -229,7 +229,7 @@ class Model:
     weight: np.ndarray
     bias: float
     lexicon: dict[str, tuple[int, float]]
-    threshold: float = 0.5
+    threshold: float = 0.45
     _table: np.ndarray | None = field(default=None, repr=False)
     _words: Lexicon | None = field(default=None, repr=False)
 
@@ -253,7 +253,7 @@ class Model:
         return np.where(np.isneginf(worst), 0.0, 1 / (1 + np.exp(-np.maximum(worst, -700))))
 
 
-def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(), *, rounds: tuple[tuple[int, float, float], ...] = ((2, -0.5, 5.0), (3, -0.2, 4.0), (3, 0.0, 0.0)), most_weight: int = 50, positive_weight: float = 3.0, seed: int = 11, threshold: float = 0.5, **rates: float) -> Model:
+def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(), *, rounds: tuple[tuple[int, float, float], ...] = ((2, -0.5, 5.0), (3, -0.2, 4.0), (3, 0.0, 0.0)), most_weight: int = 50, positive_weight: float = 3.0, seed: int = 11, threshold: float = 0.45, **rates: float) -> Model:
     """A model of labelled texts (1 abusive, 0 not; between them if raters disagree).
 
     ``rounds`` gives each round's passes over the passages and two bounds on evidence. Which passage of an abusive text is abusive
