@@ -93,7 +93,8 @@ def combined(df: DataFrame, key: str, scores: dict[str, Column | str], weights:
     every = F.filter(F.array(*[F.struct(F.lit(i).alias("metric"), F.col(f"__s{i}").alias("value")) for i in range(len(names))]), lambda s: s.value.isNotNull())
     long = base.select("__key", *[f"__c{i}" for i in range(len(carry))], F.explode_outer(every).alias("__e")).select("__key", *[f"__c{i}" for i in range(len(carry))], "__e.metric", "__e.value")
     z = normal_scores(base.select(F.explode(every).alias("e")).select("e.metric", "e.value"))
-    scored = long.join(z, ["metric", "value"], "left")
+    # narrow rows are shuffled by key, not the wide buffers that the aggregation fills
+    scored = long.join(z, ["metric", "value"], "left").repartition("__key")
     wide = scored.groupBy("__key").agg(
         *[F.max(f"__c{i}").alias(f"__c{i}") for i in range(len(carry))],
         *[F.max(F.when(F.col("metric") == i, F.col("value"))).alias(f"__s{i}") for i in range(len(names))],
