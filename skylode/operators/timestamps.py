@@ -53,23 +53,26 @@ _UNIVERSAL = ("Z", "UT", "UTC", "GMT")
 _YEARS = (1970, 2037)
 
 
-@functools.lru_cache(maxsize=1)
-def abbreviations() -> tuple[tuple[str, str, int, int, int], ...]:
-    """(zone, abbreviation, first year, last year, offset in seconds) of every zone of the tz database.
+@functools.lru_cache(maxsize=None)
+def abbreviations(name: str) -> dict[str, list[tuple[int, int, int]]]:
+    """Abbreviation -> [(first year, last year, offset in seconds)] of a zone, latest first; none for unknown zones.
 
-    Sampled monthly over 1970..2037, so bounded by the database (about 600 zones, a few names each).
+    Sampled monthly over 1970..2037, so bounded by the tz database (about 600 zones, a few names each).
     """
-    found: dict[tuple[str, str, int], list[int]] = {}
-    for name in sorted(zoneinfo.available_timezones()):
-        zone = zoneinfo.ZoneInfo(name)
-        for year in range(_YEARS[0], _YEARS[1] + 1):
-            for month in range(1, 13):
-                t = datetime(year, month, 15, 12, tzinfo=zone)
-                abbr = t.tzname() or ""
-                if abbr.isalpha():
-                    span = found.setdefault((name, abbr.upper(), int(t.utcoffset().total_seconds())), [year, year])
-                    span[1] = year
-    return tuple((n, a, lo, hi, off) for (n, a, off), (lo, hi) in sorted(found.items()))
+    if name not in zoneinfo.available_timezones():
+        return {}
+    zone = zoneinfo.ZoneInfo(name)
+    found: dict[tuple[str, int], list[int]] = {}
+    for year in range(_YEARS[0], _YEARS[1] + 1):
+        for month in range(1, 13):
+            t = datetime(year, month, 15, 12, tzinfo=zone)
+            abbr = t.tzname() or ""
+            if abbr.isalpha():
+                found.setdefault((abbr.upper(), int(t.utcoffset().total_seconds())), [year, year])[1] = year
+    out: dict[str, list[tuple[int, int, int]]] = {}
+    for (abbr, off), (lo, hi) in found.items():
+        out.setdefault(abbr, []).append((lo, hi, off))
+    return {a: sorted(v, reverse=True) for a, v in out.items()}
 
 
 @functools.lru_cache(maxsize=1)
@@ -91,17 +94,13 @@ def zone_lookup(spark: SparkSession, zones: DataFrame, place: str, zone: str, at
     joined without a hint.
     """
     ids = _zone_ids(spark.sparkContext.applicationId)
-    by_zone: dict[str, dict[str, list]] = {}
-    for name, abbr, lo, hi, off in abbreviations():
-        by_zone.setdefault(name, {}).setdefault(abbr, []).append((lo, hi, off))
-    names = {n: {a: sorted(v, reverse=True) for a, v in m.items()} for n, m in by_zone.items()}
     kind = "__zone string, __abbr map<string, array<struct<lo: int, hi: int, off: int>>>"
     known = zones.where(F.col(place).isNotNull()).groupBy(F.col(place).cast("string").alias("__place")).agg(F.min(F.when(_known(F.col(zone), ids), F.col(zone))).alias("__zone"))
     got = known.limit(at_most + 1).collect()
     if len(got) > at_most:
-        table = spark.createDataFrame(list(names.items()), kind)
+        table = spark.createDataFrame([(z, abbreviations(z)) for z in ids], kind)
         return known.join(table, "__zone", "left").select("__place", "__zone", "__abbr")
-    return F.broadcast(spark.createDataFrame([(p, z, names.get(z)) for p, z in got], f"__place string, {kind}"))
+    return F.broadcast(spark.createDataFrame([(p, z, abbreviations(z) if z else None) for p, z in got], f"__place string, {kind}"))
 
 
 def _canonical(text: Column) -> Column:
