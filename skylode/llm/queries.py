@@ -13,10 +13,14 @@ from skylode.sources.tables import read_table
 _CURRENT = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY loaded_at DESC) AS rn FROM {table}) AS v WHERE rn = 1)"
 
 
-def _tag_pairs(spark: SparkSession, folder: str) -> DataFrame:
+def _tag_pairs(spark: SparkSession, folder: str, min_pairs: int = 10) -> DataFrame:
     shots = current_rows(read_table(spark, folder, "shots"), "id", "loaded_at", "subject_tags", "mood_tags")
     items = F.array_union(cooccur.tag_list(F.col("subject_tags")), cooccur.tag_list(F.col("mood_tags")))
-    return cooccur.cooccurrence(shots.select(items.alias("items")), min_pairs=10)
+    return cooccur.cooccurrence(shots.select(items.alias("items")), min_pairs=min_pairs)
+
+
+def _named(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("item_a").alias("tag_a"), F.col("item_b").alias("tag_b"), "n_ab", "n_a", "n_b", "n", F.round("lift", 6).alias("lift"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,9 +30,13 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts, marginals and lift of every two tags together in at least 10 shots."""
-    pairs = _tag_pairs(spark, folder)
-    return pairs.select(F.col("item_a").alias("tag_a"), F.col("item_b").alias("tag_b"), "n_ab", "n_a", "n_b", "n", F.round("lift", 6).alias("lift"))
+    """Counts, marginals and lift of every two tags together in at least 10 shots; ``p2_all_pairs`` has the others too."""
+    return _named(_tag_pairs(spark, folder))
+
+
+def p2_all_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, marginals and lift of every two tags together in any shot."""
+    return _named(_tag_pairs(spark, folder, min_pairs=1))
 
 
 def _kept(spark: SparkSession, folder: str) -> selection.Kept:
@@ -153,6 +161,7 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found,
     "p2_pairs": p2_pairs,
+    "p2_all_pairs": p2_all_pairs,
     "p4_found": p4_found,
     "p4_cutoffs": p4_cutoffs,
     "p5_found": p5_found,
@@ -176,6 +185,7 @@ _P2 = f"""
     p AS (SELECT a.tag AS tag_a, b.tag AS tag_b, count(*) AS n_ab FROM g AS a JOIN g AS b ON a.id = b.id AND a.tag < b.tag GROUP BY a.tag, b.tag HAVING count(*) >= 10),
     r AS (SELECT p.*, a.k AS n_a, b.k AS n_b, (SELECT count(DISTINCT id) FROM g) AS n FROM p JOIN m AS a ON a.tag = p.tag_a JOIN m AS b ON b.tag = p.tag_b)
 """
+_P2_ALL = _P2.replace(" HAVING count(*) >= 10", "")
 _P4 = f"""
     WITH c AS {_CURRENT.format(table="shots", key="id")},
     s AS (SELECT d.country, c.id, c.technical_score AS x, t.keep_permille AS keep
@@ -201,6 +211,7 @@ _P6 = f"""
 SQL = {
     "p2_found": _P2 + "SELECT tag_a, tag_b FROM r WHERE n_ab * n >= 2 * n_a * n_b",
     "p2_pairs": _P2 + "SELECT tag_a, tag_b, n_ab, n_a, n_b, n, round(CAST(n_ab AS DOUBLE) / n_a * n / n_b, 6) AS lift FROM r",
+    "p2_all_pairs": _P2_ALL + "SELECT tag_a, tag_b, n_ab, n_a, n_b, n, round(CAST(n_ab AS DOUBLE) / n_a * n / n_b, 6) AS lift FROM r",
     "p4_found": _P4 + "SELECT s.country, s.id AS shot_id FROM s JOIN k ON k.country = s.country WHERE s.x >= k.cutoff",
     "p4_cutoffs": _P4 + "SELECT t.country, CAST(t.keep_permille AS BIGINT) AS keep_permille, count(s.x) AS n, min(k.cutoff) AS cutoff, count(*) FILTER (WHERE s.x >= k.cutoff) AS kept "
     "FROM keep_targets AS t LEFT JOIN s ON s.country = t.country LEFT JOIN k ON k.country = t.country GROUP BY t.country, t.keep_permille",
