@@ -108,6 +108,19 @@ def title(description: Column, site: Column, country: Column) -> Column:
     return F.coalesce(F.substring(clause, 1, 120), title_case(F.coalesce(joined(site, country, sep=" · "), F.lit("Aerial footage"))))
 
 
+def tag_elements(text: Column) -> Column:
+    """The elements of a text as they stand: of a JSON array, or of a comma-separated list, with its white space.
+
+    NULL for NULL, and for a text that starts with ``[`` but isn't a JSON array. Elements that aren't strings
+    count as their JSON text.
+    """
+    # as the only element of the only field of an object, so that anything behind the array makes the text invalid
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    outer = F.from_json(F.concat(F.lit('{"a":['), text, F.lit("]}")), "map<string, array<array<string>>>", options)
+    parsed = F.when((F.size(outer) == 1) & (F.size(outer["a"]) == 1), outer["a"][0])
+    return F.when(text.startswith("["), parsed).otherwise(F.split(text, ","))
+
+
 def ordered_distinct(x: Column) -> Column:
     """Each element once, where it comes first."""
     return F.array_distinct(x)

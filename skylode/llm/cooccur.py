@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skylode.functions import text as tx
 from skylode.session import cut
 
 _WIDTH = 256
@@ -31,12 +32,7 @@ def tag_list(text: Column) -> Column:
     count. A text that starts with ``[`` but isn't a JSON array holds none, nor does NULL. Elements that
     aren't strings count as their JSON text.
     """
-    # as the only element of the only field of an object, so that anything behind the array makes the text invalid
-    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    outer = F.from_json(F.concat(F.lit('{"a":['), text, F.lit("]}")), "map<string, array<array<string>>>", options)
-    parsed = F.when((F.size(outer) == 1) & (F.size(outer["a"]) == 1), outer["a"][0])
-    raw = F.when(text.startswith("["), parsed).otherwise(F.split(text, ","))
-    tags = F.transform(raw, lambda x: F.translate(F.lower(F.btrim(x, F.lit(" \t\r\n\f\v "))), " _", "--"))
+    tags = F.transform(tx.tag_elements(text), lambda x: F.translate(F.lower(F.btrim(x, F.lit(" \t\r\n\f\v "))), " _", "--"))
     return F.coalesce(F.filter(tags, lambda x: x != ""), F.array().cast("array<string>"))
 
 

@@ -70,26 +70,46 @@ def f12_titles(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents", "doc_id", "text").select("doc_id", tx.title(F.col("text"), none, none).alias("title"))
 
 
-def f13_keywords(spark: SparkSession, folder: str) -> DataFrame:
+def _keywords(spark: SparkSession, folder: str, tags) -> DataFrame:
     shots = _shots(spark, folder, "source_id", "subject_tags", "mood_tags")
     s = _sources(spark, folder, "country", "site", "drone_model", "width").withColumnRenamed("id", "sid")
     j = shots.join(s, F.col("source_id") == F.col("sid"))
-    tags = [F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>")) for c in ("subject_tags", "mood_tags")]
-    words = tx.keywords(*tags, F.col("country"), F.col("site"), F.col("drone_model"), F.col("width"))
+    words = tx.keywords(*[tags(F.col(c)) for c in ("subject_tags", "mood_tags")], F.col("country"), F.col("site"), F.col("drone_model"), F.col("width"))
     return j.select("id", F.array_join(words, "; ").alias("keywords"))
 
 
+def f13_keywords(spark: SparkSession, folder: str) -> DataFrame:
+    """Keywords of each shot; only tags of JSON lists count, ``f13_all_keywords`` has the others too."""
+    return _keywords(spark, folder, lambda c: F.from_json(c, "array<string>"))
+
+
+def f13_all_keywords(spark: SparkSession, folder: str) -> DataFrame:
+    """Keywords of each shot, with the tags of JSON and of comma-separated lists."""
+    return _keywords(spark, folder, tx.tag_elements)
+
+
 def f20_crops(spark: SparkSession, folder: str) -> DataFrame:
     w, h = tx.crop_size(F.col("width"), F.col("height"))
     return _sources(spark, folder, "width", "height").select("id", w.alias("crop_w"), h.alias("crop_h"))
 
 
 def f39_outside_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    """Mood tags of JSON lists that the vocabulary lacks, with their number of shots."""
+    """Mood tags of JSON lists that the vocabulary lacks, with their number of shots; ``f39_all_outside_vocabulary`` has the others too."""
     moods = F.array_distinct(F.filter(F.from_json("mood_tags", "array<string>"), lambda x: x.isNotNull()))
     return _shots(spark, folder, "mood_tags").where("mood_tags LIKE '[%]'").select(F.explode(tx.outside(moods, tx.MOODS)).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+def f39_all_outside_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Mood tags that the vocabulary lacks, with their number of shots, of JSON and of comma-separated lists.
+
+    White space around the elements of a comma-separated list isn't part of the tag, and blank ones are none.
+    """
+    raw, text = tx.tag_elements(F.col("mood_tags")), F.col("mood_tags")
+    listed = F.filter(F.transform(raw, tx.strip), lambda x: x != "")
+    moods = F.array_distinct(F.filter(F.when(text.startswith("["), raw).otherwise(listed), lambda x: x.isNotNull()))
+    return _shots(spark, folder, "mood_tags").select(F.explode(tx.outside(moods, tx.MOODS)).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
 def f33_last_wins(spark: SparkSession, folder: str) -> DataFrame:
     """A user's last value of each type of event, as a map read back."""
     e = read_table(spark, folder, "events", "user_id", "event_id", "ts", "event_type")
@@ -316,7 +336,7 @@ def s_repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s10_replaced, s11_patched, s13_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
+    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f13_all_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, f39_all_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s10_replaced, s11_patched, s13_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
 }
 
 _SLUG = "regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({x}, ''), '^\\s+|\\s+$', '', 'g'), '[<>:\"/\\\\|?*]', '', 'g'), '^[. ]+|[. ]+$', '', 'g'), '\\s+', '-', 'g'), '^-+|-+$', '', 'g')), '^$', '{d}')"
