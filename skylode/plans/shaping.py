@@ -130,25 +130,62 @@ def s03_probe(spark: SparkSession, folder: str) -> DataFrame:
     return s.select("id", whole.alias("doc")).select("id", *[p[c].alias(c) for c in ("duration", "width", "height", "fps", "codec", "bitrate", "gps_lat", "gps_lon", "drone_model")])
 
 
-def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    shots = _shots(spark, folder, "source_id", "in_point", "out_point", "license_tier", "person_in_frame", "inferred_site")
-    s = _sources(spark, folder, "relpath", "country", "site", "captured_at", "width", "drone_model").withColumnRenamed("id", "sid")
+def _catalogue(spark: SparkSession, folder: str, *, whole: bool = True) -> DataFrame:
+    """Shots joined to their sources; with ``whole``, all columns that exports need."""
+    more = (["subject_tags", "mood_tags", "technical_score", "aesthetic_score"], ["height", "fps", "aspect", "gps_lat", "gps_lon"]) if whole else ([], [])
+    shots = _shots(spark, folder, "source_id", "in_point", "out_point", "license_tier", "person_in_frame", "inferred_site", *more[0])
+    s = _sources(spark, folder, "relpath", "country", "site", "captured_at", "width", "drone_model", *more[1]).withColumnRenamed("id", "sid")
     return shots.join(s, F.col("source_id") == F.col("sid")).withColumn("place", F.coalesce("inferred_site", "site"))
 
 
+def _duration():
+    return scoring.rounded(F.col("out_point") - F.col("in_point"), 3)
+
+
+def _title():
+    """From the place, as no column of the shots holds a description."""
+    return tx.title(F.lit(None).cast("string"), F.col("place"), F.col("country"))
+
+
+def _terms():
+    return tx.keywords(tx.tag_elements(F.col("subject_tags")), tx.tag_elements(F.col("mood_tags")), F.col("country"), F.col("place"), F.col("drone_model"), F.col("width"))
+
+
+def _blank(c: str):
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
 def s13_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of the catalogue as a manifest has them: empty text for what is missing."""
-    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return _catalogue(spark, folder).select("id", blank("country").alias("country"), blank("place").alias("site"), blank("captured_at").alias("captured_at"), F.coalesce(F.nullif("width", F.lit(0)).cast("string"), F.lit("")).alias("width"), blank("license_tier").alias("license_tier"), scoring.rounded(F.col("out_point") - F.col("in_point"), 3).alias("duration_seconds"))
+    """Seven fields of a manifest: empty text for what is missing; ``s13_full_manifest`` has all."""
+    return _catalogue(spark, folder, whole=False).select("id", _blank("country").alias("country"), _blank("place").alias("site"), _blank("captured_at").alias("captured_at"), F.coalesce(F.nullif("width", F.lit(0)).cast("string"), F.lit("")).alias("width"), _blank("license_tier").alias("license_tier"), _duration().alias("duration_seconds"))
+
+
+def s13_full_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the catalogue as a manifest has them, all 18 fields in order: empty text for what is missing.
+
+    No column of the shots holds a description or a rendered file, so that field is empty and the suffix .mp4.
+    """
+    counted = lambda c: F.coalesce(F.nullif(F.col(c), F.lit(0)).cast("string"), F.lit(""))
+    file = F.substring(tx.shot_path(".", F.col("id"), F.col("relpath"), F.col("country"), F.col("captured_at"), F.col("place"), ".mp4"), 3, 1 << 30)
+    return _catalogue(spark, folder).select(
+        F.col("id").alias("shot_id"), file.alias("file"), _title().alias("title"), F.lit("").alias("description"), F.array_join(_terms(), "; ").alias("keywords"),
+        _blank("country").alias("country"), _blank("place").alias("site"), _blank("captured_at").alias("captured_at"), _blank("gps_lat").alias("gps_lat"), _blank("gps_lon").alias("gps_lon"),
+        _blank("drone_model").alias("drone_model"), counted("width").alias("width"), counted("height").alias("height"), counted("fps").alias("fps"), _duration().alias("duration_seconds"),
+        _blank("license_tier").alias("license_tier"), _blank("aesthetic_score").alias("aesthetic_score"), _blank("technical_score").alias("technical_score"),
+    )
 
 
 def s14_side_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """A nested JSON document for each shot."""
+    """A nested JSON document for each shot; its description is NULL, as no column of the shots holds one."""
     doc = files.side_document({
         "shot_id": F.col("id"),
-        "location": {"country": F.col("country"), "site": F.col("place")},
+        "title": _title(),
+        "description": F.lit(None).cast("string"),
+        "keywords": _terms(),
+        "location": {"country": F.col("country"), "site": F.col("place"), "latitude": F.col("gps_lat"), "longitude": F.col("gps_lon")},
         "capture": {"captured_at": F.col("captured_at"), "drone_model": F.col("drone_model")},
-        "editorial": {"person_in_frame": F.coalesce(F.col("person_in_frame") != 0, F.lit(False)), "license_tier": F.col("license_tier")},
+        "technical": {"width": F.col("width"), "height": F.col("height"), "fps": F.col("fps"), "duration_seconds": _duration(), "aspect": F.col("aspect")},
+        "editorial": {"person_in_frame": F.coalesce(F.col("person_in_frame") != 0, F.lit(False)), "license_tier": F.col("license_tier"), "aesthetic_score": F.col("aesthetic_score"), "technical_score": F.col("technical_score")},
         "provenance": {"source_file": F.col("relpath"), "in_point": F.col("in_point"), "out_point": F.col("out_point")},
     })
     return _catalogue(spark, folder).select("id", doc.alias("document"))
@@ -336,7 +373,7 @@ def s_repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f13_all_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, f39_all_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s10_replaced, s11_patched, s13_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
+    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f13_all_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, f39_all_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s10_replaced, s11_patched, s13_manifest, s13_full_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
 }
 
 _SLUG = "regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({x}, ''), '^\\s+|\\s+$', '', 'g'), '[<>:\"/\\\\|?*]', '', 'g'), '^[. ]+|[. ]+$', '', 'g'), '\\s+', '-', 'g'), '^-+|-+$', '', 'g')), '^$', '{d}')"
