@@ -1,6 +1,6 @@
 """Score cutoffs that keep a target fraction of each group.
 
-Multi-sequence selection: every task sorts its own scores, once, into runs per group, which are cached. The
+Bisection of values over sorted runs: every task sorts its own scores, once, into runs per group, which are cached. The
 cutoff of a group with n scores is its k-th greatest. Rounds of pivots then narrow, for all groups at once,
 the range of values that can hold it: each run ranks the pivots by binary search, only the ranks are added
 up, and the range shrinks by the number of pivots. Rounds depend on the width of a double, not on the rows; no
