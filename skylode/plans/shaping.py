@@ -324,6 +324,15 @@ def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return base, changes
 
 
+def _first_and_later(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The oldest version of every source, and the current version of those that have a newer one."""
+    columns = ("captured_at", "gps_lat", "gps_lon")
+    version = F.struct(F.col("loaded_at").alias("v"), *columns, "width")
+    g = read_table(spark, folder, "sources", "id", "loaded_at", *columns, "width").groupBy("id").agg(F.min(version).alias("a"), F.max(version).alias("z"))
+    changed = [(~F.col(f"a.{c}").eqNullSafe(F.col(f"z.{c}"))).alias(f"has_{c}") for c in columns]
+    return g.select("id", "a.*").drop("v"), g.where("z.v > a.v").select("id", *[F.col(f"z.{c}") for c in columns], *changed)
+
+
 def s08_conformed(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of an old schema in a newer one."""
     old = _sources(spark, folder, "country").select("country", F.col("id").cast("int").alias("id"))
@@ -336,6 +345,12 @@ def s09_upserted(spark: SparkSession, folder: str) -> DataFrame:
     return store.upsert(base, changes, "id")
 
 
+def s09_all_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """Oldest versions of all sources with their current ones written over them."""
+    base, changes = _first_and_later(spark, folder)
+    return store.upsert(base, changes.select("id", "captured_at", "gps_lat", "gps_lon"), "id")
+
+
 def s10_replaced(spark: SparkSession, folder: str) -> DataFrame:
     base = _shots(spark, folder, "source_id", "shot_index", "in_point", "motion_class").select("source_id", "shot_index", "in_point", "motion_class")
     fresh = base.where("source_id % 10 = 0").groupBy("source_id").agg(F.min("in_point").alias("in_point"))
@@ -348,6 +363,12 @@ def s11_patched(spark: SparkSession, folder: str) -> DataFrame:
     return store.patch(base, flagged, "id", {"size_bytes": "has_size", "country": "has_country"})
 
 
+def s11_all_patched(spark: SparkSession, folder: str) -> DataFrame:
+    """Oldest versions of all sources with the columns replaced in which the current ones differ."""
+    base, changes = _first_and_later(spark, folder)
+    return store.patch(base, changes, "id", {c: f"has_{c}" for c in ("captured_at", "gps_lat", "gps_lon")})
+
+
 def s25_ingest_plan(spark: SparkSession, folder: str) -> DataFrame:
     """What an ingest would do with each file of a scan."""
     s = _sources(spark, folder, "path", "size_bytes", "mtime", "duration")
@@ -373,7 +394,7 @@ def s_repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f13_all_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, f39_all_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s10_replaced, s11_patched, s13_manifest, s13_full_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
+    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f13_all_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, f39_all_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s09_all_upserted, s10_replaced, s11_patched, s11_all_patched, s13_manifest, s13_full_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
 }
 
 _SLUG = "regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({x}, ''), '^\\s+|\\s+$', '', 'g'), '[<>:\"/\\\\|?*]', '', 'g'), '^[. ]+|[. ]+$', '', 'g'), '\\s+', '-', 'g'), '^-+|-+$', '', 'g')), '^$', '{d}')"
