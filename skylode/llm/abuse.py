@@ -1,11 +1,16 @@
 """Abusive, hateful or sexually explicit passages in texts, by a trained linear model.
 
 Texts are folded (compatibility forms, accents, invisible characters, letters of other alphabets that look
-Latin, digits for letters, stretched, spaced, masked and swapped letters) into words. Each passage of a few words is a
-set of hashed word n-grams and skip-grams; a logistic regression trained by FTRL-proximal scores it, and a
-text scores as its worst passage, so that one sentence counts the same in a comment and in a long report.
-Per-coordinate rates suit features that differ in frequency by orders of magnitude, and the L1 term leaves
-few weights, which are broadcast.
+Latin, digits for letters, stretched, spaced, masked and swapped letters) into words. Each passage of a few words, of
+several lengths, is a set of hashed word n-grams and skip-grams; a logistic regression trained by
+FTRL-proximal scores it, and a text scores as its worst passage, so that one sentence counts the same in a comment and in
+a long report. Per-coordinate rates suit features that differ in frequency by orders of magnitude, and the L1 term
+leaves few weights, which are broadcast.
+
+Raters make mistakes, and a long text has many passages that could look bad by chance. So a label counts as evidence of
+known strength, not as truth: a passage's target is its own probability moved by the odds of its votes. Passages made of words
+that many harmless texts share are pushed far below the prior, whatever a few mistaken votes say, and only unfamiliar ones
+can rise, so length alone adds no false alarms.
 
 Only the labelled passages decide what is abusive: no word list is given.
 """
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylode.llm.spread import spread
+from skylode.session import cut
 
 # Letters that look like Latin ones, and digits and signs that are written for letters.
 _LOOK = str.maketrans("авеёіјкмнорсԁтухһԛѕνοαερικτυ", "abeeijkmhopcdtyxhqsvoaepiktu")
@@ -46,16 +52,15 @@ _GRAMS: tuple[tuple[int, ...], ...] = ((0,), (0, 1), (0, 1, 2), (0, 2), (0, 3),
 
 @dataclass(frozen=True)
 class Shape:
-    """Parameters of the features."""
+    """Parameters of the features: bits of the hash, and (words, stride) of the passages of each length, longest first."""
 
     bits: int = 20
-    passage: int = 9
-    stride: int = 3
+    passages: tuple[tuple[int, int], ...] = ((8, 2), (5, 1), (3, 1))
 
 
 def fold(text: str) -> str:
     """Lower case without accents, invisible characters and compatibility forms; spaced words joined."""
-    t = _DROPPED.sub("", unicodedata.normalize("NFKD", text)).casefold()
+    t = text.lower() if text.isascii() else _DROPPED.sub("", unicodedata.normalize("NFKD", text)).casefold()
     return _SPACED.sub(lambda m: _FUSED + m[0].replace(m[2], "") + _FUSED, t)
 
 
@@ -144,9 +149,10 @@ class Lexicon:
 
     def tokens(self, text: str) -> list[int]:
         out: list[int] = []
+        known = self._known
         for i, part in enumerate(fold(text).split(_FUSED)):
             for raw in _WORD.findall(part):
-                out += self.hashes(raw, i % 2 == 1)
+                out += (known.get(raw) if i % 2 == 0 else None) or self.hashes(raw, i % 2 == 1)
         return out
 
 
@@ -187,37 +193,62 @@ def features(tokens: Sequence[Sequence[int]], shape: Shape) -> tuple[np.ndarray,
     return text, out
 
 
-def passages(size: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, end) of each passage: strides over a text until one reaches its end."""
-    n = np.maximum(0, np.where(size > 0, 1 + -(-np.maximum(0, size - shape.passage) // shape.stride), 0))
+def passages(size: np.ndarray, words: int, stride: int, longest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, end) of each passage of a length, in order; the last one ends with its text.
+
+    A text of fewer words is one passage if the length is the longest, else it has none.
+    """
+    n = np.where(size >= words, 1 - (-np.maximum(0, size - words) // stride), np.where(longest & (size > 0), 1, 0))
     text = np.repeat(np.arange(len(size)), n)
     base = np.cumsum(size) - size
-    start = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * shape.stride
-    return text, base[text] + start, base[text] + np.minimum(start + shape.passage, size[text])
+    start = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * stride
+    start = base[text] + np.minimum(start, np.maximum(0, size[text] - words))
+    return text, start, np.minimum(start + words, base[text] + size[text])
+
+
+def repeats(text: np.ndarray, bucket: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, earlier position) of features that come again in the same text within ``words`` words."""
+    at = np.flatnonzero(bucket >= 0)
+    at = at[np.argsort(bucket[at], kind="stable")]
+    now, before = at[1:], at[:-1]
+    again = (bucket[now] == bucket[before]) & (now - before < words) & (text[now] == text[before])
+    return now[again], before[again]
 
 
 class Ftrl:
-    """Logistic regression by FTRL-proximal over sparse binary features.
+    """Logistic regression by FTRL-proximal over sets of features, a batch of sets at a time.
 
-    The intercept starts at ``base``, so that features seen only in harmless texts needn't weigh anything.
+    The intercept stays at ``base``, the log odds of a passage of which nothing is known.
     """
 
-    def __init__(self, n: int, alpha: float = 0.15, beta: float = 1.0, l1: float = 0.4, l2: float = 1.0, base: float = -3.0):
+    def __init__(self, n: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.2, l2: float = 1.0, base: float = -3.0):
         self.alpha, self.beta, self.l1, self.l2, self.base = alpha, beta, l1, l2, base
-        self.z, self.n = np.zeros(n + 1), np.zeros(n + 1)  # the last one is the intercept
+        self.z, self.n = np.zeros(n), np.zeros(n)
 
-    def weights(self, at: np.ndarray) -> np.ndarray:
+    def weights(self, at: np.ndarray | slice = slice(None)) -> np.ndarray:
         z = self.z[at]
         w = -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(self.n[at])) / self.alpha + self.l2)
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
-    def learn(self, at: np.ndarray, label: float, importance: float = 1.0) -> None:
-        w = self.weights(at)
-        p = 1 / (1 + math.exp(-max(-35.0, min(35.0, float(w.sum()) + self.base))))
-        g = (p - label) * importance
-        n = self.n[at]
-        self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
-        self.n[at] = n + g * g
+    def learn(self, at: np.ndarray, size: np.ndarray, evidence: np.ndarray, importance: np.ndarray) -> None:
+        """One step over sets of ``size`` features each (``at`` holds them end to end).
+
+        ``evidence`` is the log likelihood ratio of a set's votes; the target is what the model and the votes together say.
+        """
+        row = np.repeat(np.arange(len(size)), size)
+        f, place = np.unique(at, return_inverse=True)
+        w = self.weights(f)
+        odds = np.bincount(row, weights=w[place], minlength=len(size)) + self.base
+        g = (_probability(odds) - _probability(odds + evidence)) * importance
+        first = np.bincount(place, weights=g[row], minlength=len(f))
+        second = np.bincount(place, weights=(g * g)[row], minlength=len(f))
+        n = self.n[f]
+        self.z[f] += first - (np.sqrt(n + second) - np.sqrt(n)) / self.alpha * w
+        self.n[f] = n + second
+
+
+def _probability(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -35, 35)))
 
 
 @dataclass
@@ -229,105 +260,146 @@ class Model:
     weight: np.ndarray
     bias: float
     lexicon: dict[str, tuple[int, float]]
-    threshold: float = 0.45
+    threshold: float = 0.38
     _table: np.ndarray | None = field(default=None, repr=False)
     _words: Lexicon | None = field(default=None, repr=False)
 
     def score(self, texts: Sequence[str | None]) -> np.ndarray:
-        """Probability that the worst passage of each text is abusive; 0 for texts without words."""
+        """Probability that the worst passage of each text is abusive; 0 for texts without words.
+
+        A feature counts once a passage, however often the passage repeats it.
+        """
         if self._words is None:
             self._words = Lexicon(self.lexicon)
             self._table = np.zeros((1 << self.shape.bits) + 1)
             self._table[self.bucket] = self.weight
         tokens = [self._words.tokens(t) if t else [] for t in texts]
-        _, kinds = features(tokens, self.shape)
+        owner, kinds = features(tokens, self.shape)
         size = np.array([len(t) for t in tokens], np.int64)
-        text, start, end = passages(size, self.shape)
-        total = np.full(len(text), self.bias)
+        base = np.cumsum(size) - size
+        longest = self.shape.passages[0][0]
+        found = []
         for offsets, bucket in zip(_GRAMS, kinds, strict=True):
-            sums = np.concatenate([[0.0], np.cumsum(self._table[bucket])])  # -1 is the last entry, which weighs 0
-            stop = np.maximum(start, end - offsets[-1])
-            total += sums[stop] - sums[start]
+            w = self._table[bucket]  # -1 is the last entry, which weighs 0
+            now, before = repeats(owner, np.where(w != 0, bucket, -1), longest)
+            found.append((offsets[-1], w, np.concatenate([[0.0], np.cumsum(w)]), now, before))
         worst = np.full(len(texts), -np.inf)
-        np.maximum.at(worst, text, total)
-        return np.where(np.isneginf(worst), 0.0, 1 / (1 + np.exp(-np.maximum(worst, -700))))
-
-
-def train(texts: Sequence[str], labels: Sequence[float], shape: Shape = Shape(), *, rounds: tuple[tuple[int, float, float], ...] = ((2, -0.5, 5.0), (3, -0.2, 4.0), (3, 0.0, 0.0)), most_weight: int = 50, positive_weight: float = 3.0, seed: int = 11, threshold: float = 0.45, **rates: float) -> Model:
-    """A model of labelled texts (1 abusive, 0 not; between them if raters disagree).
-
-    ``rounds`` gives each round's passes over the passages and two bounds on evidence. Which passage of an abusive text is abusive
-    isn't labelled: the first round takes all of them, the later ones the one that the round before found worst,
-    where each half of the texts is judged by a model of the other half. A text called abusive whose worst
-    passage then has less evidence than the lower bound (0: the words speak neither way), and a harmless one with a
-    passage above the upper, are taken for mistakes of the raters and left out. Equal passages are learnt as
-    one, with their mean label and the weight of up to ``most_weight`` of them, so that mistakes among common
-    passages are outvoted. One class only gives a model that scores everything alike.
+        for words, stride in self.shape.passages:
+            text, start, end = passages(size, words, stride, words == longest)
+            total = np.full(len(text), self.bias)
+            for reach, w, sums, now, before in found:
+                total += sums[np.maximum(start, end - reach)] - sums[start]
+                if len(now):  # take repeats out of the passages that hold the earlier one too
+                    low = np.searchsorted(start, np.maximum(now + reach + 1 - words, base[owner[now]]), "left")
+                    n = np.maximum(0, np.searchsorted(start, before, "right") - low)
+                    at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    np.subtract.at(total, at, np.repeat(w[now], n))
+            np.maximum.at(worst, text, total)
+        return np.where(np.isneginf(worst), 0.0, _probability(worst))
+
+
+def _passage_sets(tokens: Sequence[Sequence[int]], shape: Shape, chunk: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text and set of each passage, features of the distinct sets end to end, size of each set)."""
+    known: dict[int, int] = {}
+    texts, which, at, sizes = [], [], [], []
+    for i in range(0, len(tokens), chunk):
+        part = tokens[i : i + chunk]
+        _, kinds = features(part, shape)
+        size = np.array([len(t) for t in part], np.int64)
+        for words, stride in shape.passages:
+            text, start, end = passages(size, words, stride, words == shape.passages[0][0])
+            columns = []
+            for offsets, bucket in zip(_GRAMS, kinds, strict=True):
+                for j in range(words - offsets[-1]):
+                    columns.append(np.where(start + j + offsets[-1] < end, bucket[np.minimum(start + j, len(bucket) - 1)], -1))
+            if not len(text):
+                continue
+            rows = np.sort(np.stack(columns, 1), 1)
+            rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = -1
+            kept = rows >= 0
+            mixed = (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= np.uint64(0xBF58476D1CE4E5B9)
+            name = np.where(kept, mixed ^ (mixed >> np.uint64(32)), np.uint64(0)).sum(1, dtype=np.uint64)
+            name, first, place = np.unique(name, return_index=True, return_inverse=True)
+            number = np.empty(len(name), np.int64)
+            for j, (h, r) in enumerate(zip(name.tolist(), first.tolist(), strict=True)):
+                number[j] = known.setdefault(h, len(known))
+                if number[j] == len(sizes):
+                    at.append(rows[r][kept[r]])
+                    sizes.append(len(at[-1]))
+            texts.append(text + i)
+            which.append(number[place])
+    if not sizes:
+        return (np.zeros(0, np.int64),) * 4
+    return np.concatenate(texts), np.concatenate(which), np.concatenate(at), np.array(sizes, np.int64)
+
+
+def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(), *, mistakes: float = 0.08, warm: int = 3, rounds: int = 10, batch: int = 64, most_weight: int = 1000, seed: int = 11, threshold: float = 0.38, **rates: float) -> Model:
+    """A model of labelled texts.
+
+    ``votes`` is a text's number of votes for abusive less those against it; each is a mistake with the chance
+    ``mistakes``, so that it moves the log odds by a known step. The text is abusive if any of its passages is: votes against it
+    speak against each passage, votes for it speak for the one that the model finds worst at the time, and
+    a draw says nothing. The first ``warm`` of all passes see only texts voted harmless, so that the words of such
+    texts are familiar before any passage has to be blamed; ``rounds`` more see both. Equal passages of harmless texts are
+    learnt as one, with the weight of up to ``most_weight`` of them. Without votes for or against, every text scores
+    as the prior.
     """
-    labels = np.asarray(labels, float)
+    votes = np.asarray(votes, float)
+    lexicon = _lexicon(texts, votes)
+    words = Lexicon(lexicon)
+    text, which, at, size = _passage_sets([words.tokens(t) for t in texts], shape)
+    n = 1 << shape.bits
+    model = Ftrl(n, **rates)
+    evidence = votes[text] * math.log((1 - mistakes) / mistakes)
+    offset = np.cumsum(size) - size
+    good = evidence < 0
+    count = np.bincount(which[good], minlength=len(size))
+    mean = np.bincount(which[good], weights=evidence[good], minlength=len(size)) / np.maximum(1, count)
+    harmless = np.flatnonzero(count)
+    accused = np.flatnonzero(evidence > 0)
+    rng = np.random.default_rng(seed)
+    for i in range(warm + rounds):
+        sets, moved, weight = harmless, mean[harmless], np.minimum(most_weight, count[harmless]).astype(float)
+        if i >= warm and len(accused):
+            odds = np.add.reduceat(np.append(model.weights(at), 0.0), offset) * (size > 0)
+            order = accused[np.lexsort((-odds[which[accused]], text[accused]))]
+            worst = order[np.append(True, text[order][1:] != text[order][:-1])]
+            sets, moved, weight = np.append(sets, which[worst]), np.append(moved, evidence[worst]), np.append(weight, np.ones(len(worst)))
+        order = rng.permutation(len(sets))
+        for j in range(0, len(order), batch):
+            now = order[j : j + batch]
+            k = size[sets[now]]
+            where = np.repeat(offset[sets[now]] - np.cumsum(k) + k, k) + np.arange(k.sum())
+            model.learn(at[where], k, moved[now], weight[now])
+    w = model.weights()
+    kept = np.flatnonzero(w)
+    return Model(shape, kept, w[kept], model.base, lexicon, threshold)
+
+
+def _lexicon(texts: Sequence[str], votes: np.ndarray) -> dict[str, tuple[int, float]]:
+    """Words of two texts or more: how many, and the log odds of being in texts voted abusive."""
     seen, bad = Counter(), Counter()
-    for t, y in zip(texts, labels, strict=True):
+    for t, y in zip(texts, votes, strict=True):
         w = set(words_of(t))
         seen.update(w)
-        if y > 0.5:
+        if y > 0:
             bad.update(w)
-    share = float((labels > 0.5).mean()) if len(labels) else 0.0
-    lexicon = {w: (n, math.log((bad[w] + share + 1e-9) / (n - bad[w] + 1 - share + 1e-9))) for w, n in seen.items() if n >= 2}
-    words = Lexicon(lexicon)
-    tokens = [words.tokens(t) for t in texts]
-    _, kinds = features(tokens, shape)
-    text, start, end = passages(np.array([len(t) for t in tokens], np.int64), shape)
-    n = 1 << shape.bits
-    found: dict[bytes, int] = {}
-    sets: list[np.ndarray] = []
-    which = np.empty(len(text), np.int64)
-    for i, (s, e) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
-        b = np.unique(np.concatenate([k[s : max(s, e - o[-1])] for o, k in zip(_GRAMS, kinds, strict=True)]))
-        b = np.append(b[b >= 0], n)
-        which[i] = found.setdefault(b.tobytes(), len(found))
-        if which[i] == len(sets):
-            sets.append(b)
-    rng = np.random.default_rng(seed)
-    half = np.array([_hash(t) >> 40 & 1 for t in texts], np.int64)[text]
-
-    def fitted(use: np.ndarray, passes: int, positive: float = 1.0) -> tuple[Ftrl, np.ndarray]:
-        """A model of the passages in use, and the evidence (log odds beyond the intercept) it sees in every passage."""
-        count = np.bincount(which[use], minlength=len(sets))
-        label = np.bincount(which[use], weights=labels[text[use]], minlength=len(sets)) / np.maximum(1, count)
-        model = Ftrl(n, **rates)
-        order = np.flatnonzero(count)
-        for _ in range(passes):
-            rng.shuffle(order)
-            for i in order.tolist():
-                model.learn(sets[i], float(label[i]), float(min(most_weight, count[i])) * (positive if label[i] > 0.5 else 1.0))
-        w = model.weights(np.arange(n + 1))
-        return model, np.array([w[b[:-1]].sum() for b in sets])[which] if sets else np.zeros(0)
-
-    model, use = Ftrl(n, **rates), np.ones(len(text), bool)
-    for i, (passes, low, high) in enumerate(rounds):
-        if i == len(rounds) - 1:
-            model, _ = fitted(use, passes, positive_weight)
-            break
-        # each half is scored by a model of the other, so that no text vouches for its own label
-        score = np.where(half == 0, fitted(use & (half == 1), passes)[1], fitted(use & (half == 0), passes)[1])
-        worst = np.full(len(texts), -np.inf)
-        np.maximum.at(worst, text, score)
-        use = (labels[text] <= 0.5) | (score >= worst[text])
-        use &= ~(((labels > 0.5) & (worst < low)) | ((labels <= 0.5) & (worst > high)))[text]
-    w = model.weights(np.arange(n + 1))
-    kept = np.flatnonzero(w[:n])
-    return Model(shape, kept, w[kept], float(w[n]) + model.base, lexicon, threshold)
+    share = float((votes > 0).mean()) if len(votes) else 0.0
+    return {w: (n, math.log((bad[w] + share + 1e-9) / (n - bad[w] + 1 - share + 1e-9))) for w, n in seen.items() if n >= 2}
 
 
 def labelled(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "abusive", most: int = 20_000, most_chars: int = 60_000_000) -> tuple[list[str], list[float]]:
-    """Labelled texts for training, at most ``most`` documents (the lowest by a hash of the id).
+    """Labelled texts for training, at most ``most`` documents (the lowest by a hash of the id), with their votes.
 
-    Votes of several raters are averaged, undecided ones don't count, nor do NULL or empty texts. The rows
-    come to the driver: a bounded sample, and an error beyond ``most_chars`` characters.
+    A text's votes are those for abusive (1) less those against (0); undecided ones don't count, nor do NULL or empty
+    texts. The rows come to the driver: a bounded sample, and an error beyond ``most_chars`` characters. The
+    chosen ids, at most ``most``, are broadcast, so that the texts of all documents are read once and none is shuffled.
     """
-    votes = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.avg(F.col(label).cast("double")).alias("y"))
-    chosen = votes.orderBy(F.xxhash64("__k"), "__k").limit(most)
-    rows = documents.select(F.col(key).alias("__d"), F.col(text).alias("t")).where(F.length("t") > 0).join(chosen, F.col("__d") == F.col("__k")).select("__k", "t", "y")
+    votes = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.sum(F.when(F.col(label) > 0, 1.0).otherwise(-1.0)).alias("y"))
+    chosen = F.broadcast(votes.orderBy(F.xxhash64("__k"), "__k").limit(most))
+    rows = cut(documents.select(F.col(key).alias("__d"), F.col(text).alias("t")).where(F.length("t") > 0).join(chosen, F.col("__d") == F.col("__k")).select("__k", "t", "y"))
     size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     if size > most_chars:
         raise ValueError(f"{size} characters of labelled texts; lower most or raise most_chars")
