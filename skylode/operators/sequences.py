@@ -76,11 +76,17 @@ def label_samples(samples: DataFrame, scene: str, order: str, width: float, fps:
 
 
 def displacements(frames: DataFrame, scene: str, order: str) -> DataFrame:
-    """(scene, start, end, dx, dy) between consecutive frames that have a position (x, y) at time t."""
+    """(scene, start, end, dx, dy) from the last readable frame to each readable one (x, y at time t).
+
+    A frame without x or y is unreadable and gives no row, but the row after it still starts at its time: times come
+    from the frame just before, positions from the last readable one. The first readable frame has none before it.
+    """
     w = Window.partitionBy(scene).orderBy(order)
-    readable = frames.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    moved = readable.select(scene, order, F.lag("t").over(w).alias("start"), F.col("t").alias("end"), (F.col("x") - F.lag("x").over(w)).alias("dx"), (F.col("y") - F.lag("y").over(w)).alias("dy"))
-    return moved.where(F.col("start").isNotNull())
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    readable = F.col("x").isNotNull() & F.col("y").isNotNull()
+    seen = F.last(F.when(readable, F.struct("x", "y")), ignorenulls=True).over(before)
+    moved = frames.select(scene, order, F.lag("t").over(w).alias("start"), F.col("t").alias("end"), (F.col("x") - seen["x"]).alias("dx"), (F.col("y") - seen["y"]).alias("dy"), readable.alias("__r"), seen.isNotNull().alias("__s"))
+    return moved.where("__r AND __s").drop("__r", "__s")
 
 
 def to_runs(labelled: DataFrame, scene: str, order: str, label: str = "cls") -> DataFrame:

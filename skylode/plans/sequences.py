@@ -111,15 +111,29 @@ def w14_carved(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
-    return seq.split_by_motion(scenes(spark, folder), samples(spark, folder), "scene", "ord", WIDTH, FPS)
+    return seq.split_by_motion(scenes(spark, folder), samples(spark, folder), "scene", "ord", WIDTH, FPS, min_render=3.0, max_render=8.0)
 
 
 def w15_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Scenes split at changes of movement, and their usable runs carved into steady windows of 3 to 8 seconds."""
     return _split(spark, folder).select("scene", "piece", "cls", F.col("start").alias("piece_start"), F.col("end").alias("piece_end"), F.size("profile").alias("seconds"), F.col("is_window").cast("int").alias("is_window"))
 
 
 def w16_untiled(spark: SparkSession, folder: str) -> DataFrame:
-    """Scenes whose pieces don't cover them: none."""
+    """Scenes whose runs don't cover them.
+
+    Each scene starts and ends with its samples here; runs are whole but for planted faults: the second run of a scene starts late where
+    its number leaves 1 by 5, and ends late by 2; the first run starts late by 3.
+    """
+    late = F.when((F.col("run") == 1) & (F.col("scene") % 5 == 1), 0.125).when((F.col("run") == 0) & (F.col("scene") % 5 == 3), 0.125).otherwise(0.0)
+    over = F.when((F.col("run") == 1) & (F.col("scene") % 5 == 2), 0.125).otherwise(0.0)
+    pieces = _runs(spark, folder).select("scene", (F.col("start") + late).alias("start"), (F.col("end") + over).alias("end"))
+    whole = samples(spark, folder).groupBy("scene").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return seq.untiled(pieces, whole, "scene")
+
+
+def w16_split_untiled(spark: SparkSession, folder: str) -> DataFrame:
+    """Scenes that the pieces of ``w15_split`` don't cover: none, whatever the tables hold."""
     return seq.untiled(_split(spark, folder), scenes(spark, folder), "scene")
 
 
@@ -141,7 +155,7 @@ def a04_flow_scores(spark: SparkSession, folder: str) -> DataFrame:
     return g.select("scene", motion.alias("motion"), stability.alias("stability"), scoring.technical_score(F.col("sharp"), F.col("clip")).alias("technical"))
 
 
-QUERIES = {f.__name__: f for f in (w01_labels, w03_displacements, w04_runs, w04_camera_summary, w05_merge_short, w06_merge_usable, w07_segment, w08_merge_segments, w09_cut_list, w10_speed_buckets, w11_reversals, w13_windows, w14_carved, w15_split, w16_untiled, j05_samples_in_runs, a04_flow_scores)}
+QUERIES = {f.__name__: f for f in (w01_labels, w03_displacements, w04_runs, w04_camera_summary, w05_merge_short, w06_merge_usable, w07_segment, w08_merge_segments, w09_cut_list, w10_speed_buckets, w11_reversals, w13_windows, w14_carved, w15_split, w16_untiled, w16_split_untiled, j05_samples_in_runs, a04_flow_scores)}
 
 _SAMPLES = """
     e AS (SELECT user_id AS scene, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS ord FROM events),
@@ -164,12 +178,17 @@ _BUCKETS = f"""{_SAMPLES},
 """
 SQL = {
     "w01_labels": f"WITH {_LABELS} SELECT scene, ord, cls, floor(shift * 1e6 + 0.5) / 1e6 AS shift, floor(drift * 1e6 + 0.5) / 1e6 AS drift FROM l",
-    "w03_displacements": f"WITH {_SAMPLES}, k AS (SELECT * FROM s WHERE ord % 7 <> 3), d AS (SELECT scene, ord, lag(start_s) OVER w AS from_s, start_s AS to_s, dx - lag(dx) OVER w AS d FROM k WINDOW w AS (PARTITION BY scene ORDER BY ord)) "
-    "SELECT scene, ord, from_s, to_s, floor(d * 1e6 + 0.5) / 1e6 AS dx FROM d WHERE from_s IS NOT NULL",
+    "w03_displacements": f"WITH {_SAMPLES}, k AS (SELECT *, lag(start_s) OVER (PARTITION BY scene ORDER BY ord) AS from_s FROM s), d AS (SELECT scene, ord, from_s, start_s AS to_s, dx - lag(dx) OVER w AS d FROM k WHERE ord % 7 <> 3 WINDOW w AS (PARTITION BY scene ORDER BY ord)) "
+    "SELECT scene, ord, from_s, to_s, floor(d * 1e6 + 0.5) / 1e6 AS dx FROM d WHERE d IS NOT NULL",
     "w04_runs": f"WITH {_RUNS} SELECT scene, run, cls, run_start, run_end, n FROM r",
     "w04_camera_summary": f"WITH {_RUNS} SELECT cls, count(*) AS runs, CAST(sum(n) AS BIGINT) AS samples, sum(run_end - run_start) AS seconds FROM r GROUP BY cls",
     "w10_speed_buckets": f"WITH {_BUCKETS} SELECT scene, second, floor(speed * 1e6 + 0.5) / 1e6 AS speed FROM b",
-    "w16_untiled": "SELECT 0 AS scene, '' AS problem WHERE false",
+    "w16_untiled": f"""WITH {_RUNS}, p AS (SELECT scene, run, run_start + CASE WHEN run = 1 AND scene % 5 = 1 OR run = 0 AND scene % 5 = 3 THEN 125e-3 ELSE 0e0 END AS a, run_end + CASE WHEN run = 1 AND scene % 5 = 2 THEN 125e-3 ELSE 0e0 END AS b FROM r),
+        g AS (SELECT scene, b, lead(a) OVER (PARTITION BY scene ORDER BY a, b) AS nxt FROM p),
+        sc AS (SELECT scene, min(run_start) AS s0, max(run_end) AS s1 FROM r GROUP BY scene)
+        SELECT DISTINCT scene, 'gap or overlap' AS problem FROM g WHERE abs(nxt - b) > 1e-6
+        UNION ALL SELECT sc.scene, 'ends' FROM sc JOIN p ON p.scene = sc.scene GROUP BY sc.scene, s0, s1 HAVING abs(min(a) - s0) > 1e-6 OR abs(max(b) - s1) > 1e-6""",
+    "w16_split_untiled": "SELECT 0 AS scene, '' AS problem WHERE false",
     "j05_samples_in_runs": f"WITH {_RUNS} SELECT r.scene, r.run, count(*) AS n FROM r JOIN s ON s.scene = r.scene AND (s.start_s + s.end_s) / 2 BETWEEN r.run_start AND r.run_end GROUP BY r.scene, r.run",
     "a04_flow_scores": f"""WITH {_SAMPLES}, g AS (SELECT scene, avg(abs(dx)) AS m, stddev_pop(abs(dx)) AS sd, avg(dx) AS x, avg(response * 500) AS sharp, avg(response / 4) AS clip FROM s GROUP BY scene)
         SELECT scene, floor(greatest(0e0, least(1e0, tanh(m / 512e0 / 4e-2))) * 1e4 + 0.5) / 1e4 AS motion,
@@ -238,21 +257,58 @@ SQL["w09_cut_list"] = f"""WITH RECURSIVE {_SAMPLES},
     p AS (SELECT *, sum(jump) OVER (PARTITION BY scene ORDER BY ord) AS part FROM m),
     q AS (SELECT scene, CAST(part AS BIGINT) AS run, CAST(NULL AS VARCHAR) AS cls, min(start_s) AS run_start, max(end_s) AS stop FROM p GROUP BY scene, part),
     r AS (SELECT scene, run, cls, run_start, CASE WHEN run = max(run) OVER (PARTITION BY scene) THEN stop + 75e-2 ELSE stop END AS run_end FROM q), {_swept_sql('r','u')} {_SELECT} u"""
-SQL["w13_windows"] = f"""WITH RECURSIVE {_BUCKETS},
-    n AS (SELECT scene, count(*) AS n FROM b GROUP BY scene),
-    c AS (SELECT scene, o, k FROM (SELECT scene, n, unnest(range(3, least(n, 8) + 1)) AS k FROM n WHERE n >= 3) AS l, (SELECT unnest(range(0, 1000)) AS o) AS x WHERE o + k <= n),
-    t AS (SELECT c.scene, c.o, c.k, 0 AS i, 0 AS turns, 0 AS way, speed AS anchor, speed AS lo, speed AS hi, speed AS head FROM c JOIN b ON b.scene = c.scene AND b.second = c.o
+
+
+def _windows_sql(profiles: str) -> str:
+    """Steady windows of 3 to 8 seconds of each group g in ``profiles`` (g, second, speed): tables wn (seconds of g), rv (turns of every stretch), wz (g, o, e, s)."""
+    still = "(greatest(anchor, speed) < 1e-2 OR abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1)"
+    return f"""
+    wn AS (SELECT g, count(*) AS n FROM {profiles} GROUP BY g),
+    rv AS (SELECT g, second AS o, second + 1 AS e, 0 AS turns, 0 AS way, speed AS anchor, speed AS lo, speed AS hi, speed AS head FROM {profiles}
+        UNION ALL
+        SELECT t.g, t.o, t.e + 1, CASE WHEN {still} THEN turns WHEN way <> 0 AND way <> sign(speed - anchor) THEN turns + 1 ELSE turns END,
+        CASE WHEN {still} THEN way ELSE CAST(sign(speed - anchor) AS INTEGER) END,
+        CASE WHEN greatest(anchor, speed) < 1e-2 THEN speed WHEN {still} THEN anchor ELSE speed END,
+        least(lo, speed), greatest(hi, speed), head FROM rv AS t JOIN {profiles} AS b ON b.g = t.g AND b.second = t.e),
+    wf AS (SELECT g, o, e - o AS k, CASE WHEN hi > 0 THEN hi / greatest(lo, 1e-2) ELSE 1e0 END AS spread, head < 1e-2 AS eased FROM rv WHERE turns = 0 AND e - o BETWEEN 3 AND 8),
+    wg AS (SELECT *, bool_or(spread <= 3e0) OVER (PARTITION BY g) AS strict FROM wf),
+    wm AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k DESC, spread, o) AS rk FROM wg WHERE spread <= 3e0 OR (NOT strict AND eased)),
+    wy AS (SELECT g, rk, [{{'o': o, 'e': o + k, 's': spread}}] AS taken FROM wm WHERE rk = 1
         UNION ALL
-        SELECT t.scene, t.o, t.k, t.i + 1,
-        CASE WHEN greatest(anchor, speed) < 1e-2 OR abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1 THEN turns WHEN way <> 0 AND way <> sign(speed - anchor) THEN turns + 1 ELSE turns END,
-        CASE WHEN greatest(anchor, speed) < 1e-2 OR abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1 THEN way ELSE CAST(sign(speed - anchor) AS INTEGER) END,
-        CASE WHEN greatest(anchor, speed) < 1e-2 THEN speed WHEN abs(speed - anchor) / greatest(anchor, 1e-2) < 3e-1 THEN anchor ELSE speed END,
-        least(lo, speed), greatest(hi, speed), head FROM t JOIN b ON b.scene = t.scene AND b.second = t.o + t.i + 1 WHERE t.i + 1 < t.k),
-    f AS (SELECT scene, o, k, CASE WHEN hi > 0 THEN hi / greatest(lo, 1e-2) ELSE 1e0 END AS spread, head < 1e-2 AS eased FROM t WHERE i = k - 1 AND turns = 0),
-    g AS (SELECT *, bool_or(spread <= 3e0) OVER (PARTITION BY scene) AS strict FROM f),
-    m AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY k DESC, spread, o) AS rk FROM g WHERE spread <= 3e0 OR (NOT strict AND eased)),
-    y AS (SELECT scene, rk, [{{'o': o, 'e': o + k, 's': spread}}] AS taken FROM m WHERE rk = 1
+        SELECT y.g, m.rk, CASE WHEN len(list_filter(taken, lambda z: z.o < m.o + m.k AND m.o < z.e)) > 0 THEN taken ELSE list_concat(taken, [{{'o': m.o, 'e': m.o + m.k, 's': m.spread}}]) END FROM wy AS y JOIN wm AS m ON m.g = y.g AND m.rk = y.rk + 1),
+    wz AS (SELECT g, w.o AS o, w.e AS e, w.s AS s FROM (SELECT g, unnest(max_by(taken, rk)) AS w FROM wy GROUP BY g) AS u)"""
+
+
+def _carved_sql(profiles: str, spans: str) -> str:
+    """Pieces cp (g, piece, a, b, seconds, is_window) of the runs in ``spans`` (g, a, b) by windows of 3 to 8 seconds."""
+    turned = "coalesce((SELECT max(turns) FROM rv WHERE rv.g = q.g AND rv.o = {lo} AND rv.e = least(q.n, {hi})), 0)"
+    return f"""{_windows_sql(profiles)},
+    cs AS (SELECT s.g, s.a, s.b, coalesce(n.n, 0) AS n, n.n IS NOT NULL AND s.b - s.a >= 3e0 AS carving FROM {spans} AS s LEFT JOIN wn AS n ON n.g = s.g),
+    cw AS (SELECT z.g, s.a, s.b, s.n, s.a + z.o AS ws, s.a + z.e AS we, row_number() OVER (PARTITION BY z.g ORDER BY z.o) AS j FROM wz AS z JOIN cs AS s ON s.g = z.g WHERE s.carving),
+    cx AS (SELECT g, CAST(0 AS BIGINT) AS j, a AS here, CAST([] AS STRUCT(a DOUBLE, b DOUBLE, w INTEGER)[]) AS parts FROM cw WHERE j = 1
         UNION ALL
-        SELECT y.scene, m.rk, CASE WHEN len(list_filter(taken, lambda z: z.o < m.o + m.k AND m.o < z.e)) > 0 THEN taken ELSE list_concat(taken, [{{'o': m.o, 'e': m.o + m.k, 's': m.spread}}]) END FROM y JOIN m ON m.scene = y.scene AND m.rk = y.rk + 1),
-    z AS (SELECT scene, unnest(max_by(taken, rk)) AS w FROM y GROUP BY scene)
-    SELECT scene, CAST(w.o AS DOUBLE) AS win_start, CAST(w.e AS DOUBLE) AS win_end, floor(w.s * 1e3 + 0.5) / 1e3 AS spread FROM z"""
+        SELECT g, j, last, list_concat(parts, CASE WHEN apart THEN [{{'a': here, 'b': ws, 'w': 0}}, {{'a': head, 'b': last, 'w': 1}}] ELSE [{{'a': head, 'b': last, 'w': 1}}] END) FROM (
+            SELECT *, CASE WHEN b - stop <= 1e0 AND {turned.format(lo="CAST(round_even(q.head - q.a, 0) AS BIGINT)", hi="CAST(round_even(q.b - q.a, 0) AS BIGINT)")} = 0 THEN b ELSE stop END AS last FROM (
+                SELECT *, CASE WHEN apart OR here >= ws THEN ws ELSE here END AS head, least(we, b) AS stop FROM (
+                    SELECT *, here < ws AND (ws - here > 1e0 OR {turned.format(lo="CAST(round_even(q.here - q.a, 0) AS BIGINT)", hi="CAST(round_even(q.we - q.a, 0) AS BIGINT)")} > 0) AS apart FROM (
+                        SELECT w.*, x.here, x.parts FROM cx AS x JOIN cw AS w ON w.g = x.g AND w.j = x.j + 1) AS q) AS q) AS q) AS q),
+    ce AS (SELECT g, max_by(here, j) AS here, max_by(parts, j) AS parts FROM cx GROUP BY g),
+    cl AS (SELECT s.g, s.a AS s0, s.n, CASE WHEN e.g IS NULL THEN [{{'a': s.a, 'b': s.b, 'w': CASE WHEN s.carving THEN 0 ELSE 1 END}}]
+            WHEN s.b - e.here > 1e-2 THEN list_concat(e.parts, [{{'a': e.here, 'b': s.b, 'w': 0}}]) ELSE e.parts END AS parts FROM cs AS s LEFT JOIN ce AS e ON e.g = s.g),
+    cp AS (SELECT g, piece, p.a AS a, p.b AS b, p.w AS is_window, CAST(CASE WHEN len(parts) = 1 AND whole THEN n ELSE greatest(0, least(n, CAST(round_even(p.b - s0, 0) AS BIGINT)) - greatest(0, CAST(round_even(p.a - s0, 0) AS BIGINT))) END AS BIGINT) AS seconds
+        FROM (SELECT *, g NOT IN (SELECT g FROM ce) AS whole, unnest(parts) AS p, unnest(range(0, len(parts))) AS piece FROM cl) AS u)"""
+
+
+SQL["w13_windows"] = f"WITH RECURSIVE {_BUCKETS}, b2 AS (SELECT scene AS g, second, speed FROM b), {_windows_sql('b2')} SELECT g AS scene, CAST(o AS DOUBLE) AS win_start, CAST(e AS DOUBLE) AS win_end, floor(s * 1e3 + 0.5) / 1e3 AS spread FROM wz"
+SQL["w14_carved"] = f"""WITH RECURSIVE {_BUCKETS}, b2 AS (SELECT scene AS g, second, speed FROM b), sp AS (SELECT g, 0e0 AS a, count(*) + 4e-1 AS b FROM b2 GROUP BY g), {_carved_sql('b2', 'sp')}
+    SELECT g AS scene, CAST(piece AS INTEGER) AS piece, a AS piece_start, b AS piece_end, seconds, is_window FROM cp"""
+SQL["w15_split"] = f"""WITH RECURSIVE {_RUNS}, {_absorbed_sql('r','u')}, {_joined_sql('u','y')},
+    sc AS (SELECT scene, min(start_s) - 1e-1 AS s0, max(end_s) + 1e-1 AS s1 FROM s GROUP BY scene),
+    rr AS (SELECT y.scene, y.run, y.cls, CASE WHEN y.run = 0 THEN s0 ELSE run_start END AS a, CASE WHEN y.run = max(y.run) OVER (PARTITION BY y.scene) THEN s1 ELSE run_end END AS b FROM y JOIN sc ON sc.scene = y.scene),
+    ri AS (SELECT rr.scene, rr.run, s.dx, row_number() OVER (PARTITION BY rr.scene, rr.run ORDER BY s.ord) - 1 AS i FROM rr JOIN s ON s.scene = rr.scene AND (s.start_s + s.end_s) / 2 BETWEEN rr.a AND rr.b),
+    rb AS (SELECT scene, run, i // 4 AS second, avg(abs(dx)) * (4e0 / 512e0) AS speed FROM ri GROUP BY ALL HAVING count(*) = 4),
+    b2 AS (SELECT scene * 100000 + run AS g, second, speed FROM rb JOIN rr USING (scene, run) WHERE cls <> 'reposition'),
+    sp AS (SELECT scene * 100000 + run AS g, a, b FROM rr WHERE cls <> 'reposition'), {_carved_sql('b2', 'sp')},
+    al AS (SELECT g // 100000 AS scene, g % 100000 AS run, piece, a, b, seconds, is_window FROM cp
+        UNION ALL SELECT rr.scene, rr.run, 0, rr.a, rr.b, (SELECT count(*) FROM rb WHERE rb.scene = rr.scene AND rb.run = rr.run), 1 FROM rr WHERE cls = 'reposition')
+    SELECT al.scene, CAST(row_number() OVER (PARTITION BY al.scene ORDER BY al.a, al.run, al.piece) - 1 AS INTEGER) AS piece, rr.cls, al.a AS piece_start, al.b AS piece_end, al.seconds, al.is_window FROM al JOIN rr ON rr.scene = al.scene AND rr.run = al.run"""

@@ -70,22 +70,12 @@ def f12_titles(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents", "doc_id", "text").select("doc_id", tx.title(F.col("text"), none, none).alias("title"))
 
 
-def _keywords(spark: SparkSession, folder: str, tags) -> DataFrame:
-    shots = _shots(spark, folder, "source_id", "subject_tags", "mood_tags")
-    s = _sources(spark, folder, "country", "site", "drone_model", "width").withColumnRenamed("id", "sid")
-    j = shots.join(s, F.col("source_id") == F.col("sid"))
-    words = tx.keywords(*[tags(F.col(c)) for c in ("subject_tags", "mood_tags")], F.col("country"), F.col("site"), F.col("drone_model"), F.col("width"))
-    return j.select("id", F.array_join(words, "; ").alias("keywords"))
-
-
 def f13_keywords(spark: SparkSession, folder: str) -> DataFrame:
-    """Keywords of each shot; only tags of JSON lists count, ``f13_all_keywords`` has the others too."""
-    return _keywords(spark, folder, lambda c: F.from_json(c, "array<string>"))
-
-
-def f13_all_keywords(spark: SparkSession, folder: str) -> DataFrame:
     """Keywords of each shot, with the tags of JSON and of comma-separated lists."""
-    return _keywords(spark, folder, tx.tag_elements)
+    shots = _shots(spark, folder, "source_id", "subject_tags", "mood_tags")
+    s = _sources(spark, folder, "country", "site", "drone_model", "width").withColumnRenamed("id", "sid")
+    words = tx.keywords(*[tx.tag_elements(F.col(c)) for c in ("subject_tags", "mood_tags")], F.col("country"), F.col("site"), F.col("drone_model"), F.col("width"))
+    return shots.join(s, F.col("source_id") == F.col("sid")).select("id", F.array_join(words, "; ").alias("keywords"))
 
 
 def f20_crops(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,20 +84,20 @@ def f20_crops(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def f39_outside_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    """Mood tags of JSON lists that the vocabulary lacks, with their number of shots; ``f39_all_outside_vocabulary`` has the others too."""
-    moods = F.array_distinct(F.filter(F.from_json("mood_tags", "array<string>"), lambda x: x.isNotNull()))
-    return _shots(spark, folder, "mood_tags").where("mood_tags LIKE '[%]'").select(F.explode(tx.outside(moods, tx.MOODS)).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
-
-
-def f39_all_outside_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    """Mood tags that the vocabulary lacks, with their number of shots, of JSON and of comma-separated lists.
+    """Tags of either kind that its vocabulary lacks, with their number of shots, of JSON and of comma-separated lists.
 
     White space around the elements of a comma-separated list isn't part of the tag, and blank ones are none.
     """
-    raw, text = tx.tag_elements(F.col("mood_tags")), F.col("mood_tags")
-    listed = F.filter(F.transform(raw, tx.strip), lambda x: x != "")
-    moods = F.array_distinct(F.filter(F.when(text.startswith("["), raw).otherwise(listed), lambda x: x.isNotNull()))
-    return _shots(spark, folder, "mood_tags").select(F.explode(tx.outside(moods, tx.MOODS)).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    def foreign(column: str, vocabulary: list[str]):
+        text = F.col(column)
+        listed = F.filter(F.transform(tx.tag_elements(text), tx.strip), lambda x: x != "")
+        tags = F.array_compact(F.array_distinct(F.when(text.startswith("["), tx.tag_elements(text)).otherwise(listed)))
+        return F.transform(tx.outside(tags, vocabulary), lambda x: F.struct(F.lit(column).alias("list"), x.alias("tag")))
+
+    nothing = F.array().cast("array<struct<list: string, tag: string>>")
+    both = F.concat(*[F.coalesce(foreign(c, v), nothing) for c, v in (("subject_tags", tx.SUBJECTS), ("mood_tags", tx.MOODS))])
+    found = _shots(spark, folder, "subject_tags", "mood_tags").select(F.explode(both).alias("t"))
+    return found.groupBy(F.col("t.list").alias("list"), F.col("t.tag").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def f33_last_wins(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,22 +109,28 @@ def f33_last_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def s03_probe(spark: SparkSession, folder: str) -> DataFrame:
-    """Fields read back from probe documents made of the sources' columns."""
-    s = _sources(spark, folder, "width", "height", "codec", "drone_model", "bitrate")
+    """Fields read back from probe documents made of the sources' columns.
+
+    By turns the tags are a vendor's beside general ones, general ones only, and none but those of the video stream,
+    of which only the time of creation counts.
+    """
+    s = _sources(spark, folder, "width", "height", "codec", "drone_model", "bitrate", "captured_at")
     turned = F.when(F.col("id") % 2 == 0, F.array(F.struct(F.lit(-90).alias("rotation"))))
-    video = F.struct(F.lit("video").alias("codec_type"), F.col("codec").alias("codec_name"), "width", "height", F.lit("30000/1001").alias("r_frame_rate"), turned.alias("side_data_list"))
-    audio = F.struct(F.lit("audio").alias("codec_type"), F.lit("aac").alias("codec_name"), F.lit(0).alias("width"), F.lit(0).alias("height"), F.lit("0/0").alias("r_frame_rate"), F.lit(None).cast("array<struct<rotation:int>>").alias("side_data_list"))
-    tags = F.struct(F.lit("+10.5-020.25/").alias("location"), F.col("drone_model").alias("Model"))
-    whole = F.to_json(F.struct(F.struct(F.lit("12.5").alias("duration"), F.col("bitrate").cast("string").alias("bit_rate"), tags.alias("tags")).alias("format"), F.array(audio, video).alias("streams")))
+    streamed = F.struct(F.lit("+5.0+5.0/").alias("location"), F.lit("Lens").alias("model"), F.lit("2020-02-02T00:00:00Z").alias("Creation_Time"))
+    video = F.to_json(F.struct(F.lit("video").alias("codec_type"), F.col("codec").alias("codec_name"), "width", "height", F.lit("30000/1001").alias("r_frame_rate"), streamed.alias("tags"), turned.alias("side_data_list")))
+    audio = F.lit('{"codec_type":"audio","codec_name":"aac","width":0,"height":0,"r_frame_rate":"0/0","tags":{"model":"Microphone"}}')
+    general = F.struct(F.lit("+30.5+040.25/").alias("Location"), F.col("drone_model").alias("Model"), F.lit("").alias("make"))
+    vendor = F.struct(F.lit("+10.5-020.25/").alias("com.apple.quicktime.location.ISO6709"), F.lit("Maker").alias("com.apple.quicktime.make"), F.col("drone_model").alias("com.apple.quicktime.model"), F.lit("+1.0+1.0/").alias("location"), F.lit("Other").alias("make"), F.col("captured_at").alias("creation_time"))
+    tags = F.when(F.col("id") % 3 == 0, F.to_json(vendor)).when(F.col("id") % 3 == 1, F.to_json(general)).otherwise("{}")
+    whole = F.concat(F.lit('{"format":{"duration":"12.5","bit_rate":"'), F.col("bitrate").cast("string"), F.lit('","tags":'), tags, F.lit('},"streams":['), audio, F.lit(","), video, F.lit("]}"))
     p = files.probe_fields(F.col("doc"))
-    return s.select("id", whole.alias("doc")).select("id", *[p[c].alias(c) for c in ("duration", "width", "height", "fps", "codec", "bitrate", "gps_lat", "gps_lon", "drone_model")])
+    return s.select("id", whole.alias("doc")).select("id", *[p[c].alias(c) for c in ("duration", "width", "height", "fps", "codec", "bitrate", "captured_at", "gps_lat", "gps_lon", "drone_model")])
 
 
-def _catalogue(spark: SparkSession, folder: str, *, whole: bool = True) -> DataFrame:
-    """Shots joined to their sources; with ``whole``, all columns that exports need."""
-    more = (["subject_tags", "mood_tags", "technical_score", "aesthetic_score"], ["height", "fps", "aspect", "gps_lat", "gps_lon"]) if whole else ([], [])
-    shots = _shots(spark, folder, "source_id", "in_point", "out_point", "license_tier", "person_in_frame", "inferred_site", *more[0])
-    s = _sources(spark, folder, "relpath", "country", "site", "captured_at", "width", "drone_model", *more[1]).withColumnRenamed("id", "sid")
+def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Shots joined to their sources, with all columns that exports need."""
+    shots = _shots(spark, folder, "source_id", "in_point", "out_point", "license_tier", "person_in_frame", "inferred_site", "subject_tags", "mood_tags", "technical_score", "aesthetic_score")
+    s = _sources(spark, folder, "relpath", "country", "site", "captured_at", "width", "drone_model", "height", "fps", "aspect", "gps_lat", "gps_lon").withColumnRenamed("id", "sid")
     return shots.join(s, F.col("source_id") == F.col("sid")).withColumn("place", F.coalesce("inferred_site", "site"))
 
 
@@ -156,11 +152,6 @@ def _blank(c: str):
 
 
 def s13_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Seven fields of a manifest: empty text for what is missing; ``s13_full_manifest`` has all."""
-    return _catalogue(spark, folder, whole=False).select("id", _blank("country").alias("country"), _blank("place").alias("site"), _blank("captured_at").alias("captured_at"), F.coalesce(F.nullif("width", F.lit(0)).cast("string"), F.lit("")).alias("width"), _blank("license_tier").alias("license_tier"), _duration().alias("duration_seconds"))
-
-
-def s13_full_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the catalogue as a manifest has them, all 18 fields in order: empty text for what is missing.
 
     No column of the shots holds a description or a rendered file, so that field is empty and the suffix .mp4.
@@ -195,11 +186,11 @@ def s14_side_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    shots = _shots(spark, folder, "motion_class", "is_window", "technical_score", "aesthetic_score")
+    shots = _shots(spark, folder, "scored_at", "motion_class", "is_window", "technical_score", "aesthetic_score")
     raw = current_rows(read_table(spark, folder, "scores"), "shot_id", "loaded_at", "motion", "stability")
     j = shots.join(raw, shots.id == raw.shot_id, "left")
     parts = {"aesthetic_score": _within("aesthetic_score", 0, 1), "technical_score": _within("technical_score", 0, 1), "stability_score": _within("stability", 0, 100) / 100.0, "motion_score": F.when((F.col("motion") >= 0) & (F.col("motion") < 1e300), F.tanh(F.col("motion") / 40.0))}
-    return j.select("id", "motion_class", "is_window", *[c.alias(n) for n, c in parts.items()])
+    return j.select("id", "scored_at", "motion_class", "is_window", *[c.alias(n) for n, c in parts.items()])
 
 
 def _rating():
@@ -211,8 +202,8 @@ def a07_combined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
-    """Shots that are judged: not searching moves, and inside their window."""
-    judged = _scored(spark, folder).where("(motion_class IS NULL OR motion_class <> 'reposition') AND coalesce(is_window, 1) = 1")
+    """Shots that are judged: scored, not searching moves, and inside their window."""
+    judged = _scored(spark, folder).where("scored_at IS NOT NULL AND (motion_class IS NULL OR motion_class <> 'reposition') AND coalesce(is_window, 1) = 1")
     return judged.select("id", _rating().alias("combined"), scoring.fails_floor({"technical_score": F.col("technical_score")}, {"technical_score": 0.15}).alias("floor"))
 
 
@@ -231,9 +222,10 @@ def a17_rejected(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def a18_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``a17_rejected`` does in one row: shots considered, rejected, below a floor, below the threshold."""
     j = _judged(spark, folder)
     low = F.col("floor").isNull() & (F.col("combined") < F.col("threshold") - 1e-9)
-    return j.crossJoin(_threshold(j, 0.35)).agg(F.count_if(F.col("combined").isNotNull()).alias("considered"), F.count("floor").alias("floor_failures"), F.count_if(low).alias("below"), scoring.rounded(F.max("threshold"), 4).alias("threshold"))
+    return j.crossJoin(_threshold(j, 0.35)).agg(F.count(F.lit(1)).alias("considered"), F.count("floor").alias("floor_failures"), F.count_if(low).alias("below"), (F.count("floor") + F.count_if(low)).alias("rejected"), scoring.rounded(F.max("threshold"), 4).alias("threshold"))
 
 
 def a10_brightness(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,13 +309,6 @@ def j08_without_orphans(spark: SparkSession, folder: str) -> DataFrame:
 # --- snapshots
 
 
-def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    s = read_table(spark, folder, "sources")
-    base = s.where("id % 3 <> 0").groupBy("id").agg(F.min("size_bytes").alias("size_bytes"), F.min("country").alias("country"), F.max("width").alias("width"))
-    changes = s.where("id % 3 <> 1").groupBy("id").agg((F.max("size_bytes") + 1).alias("size_bytes"), F.max(F.when(F.col("id") % 2 == 0, F.col("country"))).alias("country"))
-    return base, changes
-
-
 def _first_and_later(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The oldest version of every source, and the current version of those that have a newer one."""
     columns = ("captured_at", "gps_lat", "gps_lon")
@@ -341,11 +326,6 @@ def s08_conformed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def s09_upserted(spark: SparkSession, folder: str) -> DataFrame:
-    base, changes = _versions(spark, folder)
-    return store.upsert(base, changes, "id")
-
-
-def s09_all_upserted(spark: SparkSession, folder: str) -> DataFrame:
     """Oldest versions of all sources with their current ones written over them."""
     base, changes = _first_and_later(spark, folder)
     return store.upsert(base, changes.select("id", "captured_at", "gps_lat", "gps_lon"), "id")
@@ -358,22 +338,19 @@ def s10_replaced(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def s11_patched(spark: SparkSession, folder: str) -> DataFrame:
-    base, changes = _versions(spark, folder)
-    flagged = changes.withColumns({"has_size": F.col("id") % 4 == 0, "has_country": F.col("id") % 5 == 0})
-    return store.patch(base, flagged, "id", {"size_bytes": "has_size", "country": "has_country"})
-
-
-def s11_all_patched(spark: SparkSession, folder: str) -> DataFrame:
     """Oldest versions of all sources with the columns replaced in which the current ones differ."""
     base, changes = _first_and_later(spark, folder)
     return store.patch(base, changes, "id", {c: f"has_{c}" for c in ("captured_at", "gps_lat", "gps_lon")})
 
 
 def s25_ingest_plan(spark: SparkSession, folder: str) -> DataFrame:
-    """What an ingest would do with each file of a scan."""
-    s = _sources(spark, folder, "path", "size_bytes", "mtime", "duration")
-    scan = s.select("path", (F.col("size_bytes") + (F.col("id") % 7 == 0).cast("int")).alias("size_bytes"), "mtime")
-    return store.ingest_plan(scan, s.where("id % 5 <> 0"))
+    """What an ingest would do with each file of a scan.
+
+    The scan finds every file; known are the files without a purge, those whose scenes were never looked for with a byte less.
+    """
+    s = _sources(spark, folder, "path", "size_bytes", "mtime", "duration", "scene_detected_at", "purged_at")
+    known = s.where("purged_at IS NULL").withColumn("size_bytes", F.col("size_bytes") - F.col("scene_detected_at").isNull().cast("int"))
+    return store.ingest_plan(s.select("path", "size_bytes", "mtime"), known)
 
 
 def s_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -394,7 +371,7 @@ def s_repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f13_all_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, f39_all_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s09_all_upserted, s10_replaced, s11_patched, s11_all_patched, s13_manifest, s13_full_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
+    for f in (f01_frame_rate, f02_rotation, f03_aspect, f04_positions, f06_paths, f12_titles, f13_keywords, f20_crops, f33_last_wins, f39_outside_vocabulary, s03_probe, s08_conformed, s09_upserted, s10_replaced, s11_patched, s13_manifest, s14_side_documents, s25_ingest_plan, s_violations, s_repeated, a07_combined, a10_brightness, a14_linear_head, a17_rejected, a18_summary, q01_unsegmented, q02_unscored, q03_untagged, q18_stats, o02_top, o04_shuffled, w17_numbered, w20_sample_times, j01_shot_details, j02_without_shots, j08_without_orphans)
 }
 
 _SLUG = "regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({x}, ''), '^\\s+|\\s+$', '', 'g'), '[<>:\"/\\\\|?*]', '', 'g'), '^[. ]+|[. ]+$', '', 'g'), '\\s+', '-', 'g'), '^-+|-+$', '', 'g')), '^$', '{d}')"
@@ -402,22 +379,32 @@ _STEM = "regexp_replace(regexp_replace(relpath, '^.*/', ''), '\\.[^.]*$', '')"
 _YEAR = "CASE WHEN regexp_matches(substr(captured_at, 1, 4), '^[0-9]+$') THEN substr(captured_at, 1, 4) ELSE 'undated' END"
 _SCORED = f"""
     WITH c AS {_SHOT}, m AS {_SCORE},
-    p AS (SELECT c.id, motion_class, is_window, CASE WHEN aesthetic_score BETWEEN 0 AND 1 AND NOT isnan(aesthetic_score) THEN aesthetic_score END AS a,
+    p AS (SELECT c.id, scored_at, motion_class, is_window, CASE WHEN aesthetic_score BETWEEN 0 AND 1 AND NOT isnan(aesthetic_score) THEN aesthetic_score END AS a,
           CASE WHEN technical_score BETWEEN 0 AND 1 AND NOT isnan(technical_score) THEN technical_score END AS t,
           CASE WHEN stability BETWEEN 0 AND 100 AND NOT isnan(stability) THEN stability / 100e0 END AS s,
           CASE WHEN motion >= 0 AND motion < 1e300 AND NOT isnan(motion) THEN tanh(motion / 40e0) END AS v
           FROM c LEFT JOIN m ON m.shot_id = c.id),
     k AS (SELECT *, floor((coalesce(a * 4e-1, 0e0) + coalesce(s * 3e-1, 0e0) + coalesce(t * 2e-1, 0e0) + coalesce(v * 1e-1, 0e0))
           / nullif(CASE WHEN a IS NULL THEN 0e0 ELSE 4e-1 END + CASE WHEN s IS NULL THEN 0e0 ELSE 3e-1 END + CASE WHEN t IS NULL THEN 0e0 ELSE 2e-1 END + CASE WHEN v IS NULL THEN 0e0 ELSE 1e-1 END, 0e0) * 1e4 + 0.5) / 1e4 AS combined FROM p),
-    j AS (SELECT id, combined, t < 15e-2 AS low FROM k WHERE (motion_class IS NULL OR motion_class <> 'reposition') AND coalesce(is_window, 1) = 1),
+    j AS (SELECT id, combined, t < 15e-2 AS low FROM k WHERE scored_at IS NOT NULL AND (motion_class IS NULL OR motion_class <> 'reposition') AND coalesce(is_window, 1) = 1),
     q AS (SELECT quantile_cont(combined, 0.35) AS threshold FROM j WHERE NOT coalesce(low, false) AND combined IS NOT NULL)
 """
-_VERSIONS = """
-    b AS (SELECT id, min(size_bytes) AS size_bytes, min(country) AS country, max(width) AS width FROM sources WHERE id % 3 <> 0 GROUP BY id),
-    x AS (SELECT id, max(size_bytes) + 1 AS size_bytes, max(CASE WHEN id % 2 = 0 THEN country END) AS country FROM sources WHERE id % 3 <> 1 GROUP BY id)
+_ENDS = """
+    o AS (SELECT id, captured_at, gps_lat, gps_lon, width, loaded_at FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at) AS rn FROM sources) AS v WHERE rn = 1),
+    z AS (SELECT id, captured_at, gps_lat, gps_lon, loaded_at FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) AS rn FROM sources) AS v WHERE rn = 1)
 """
 _HEAD = "[" + ", ".join(f"{((i * 37) % 11 - 5)}" for i in range(64)) + "]"
-_LIST = "CASE WHEN json_valid({c}) AND {c} LIKE '[%' THEN from_json({c}, '[\"VARCHAR\"]') ELSE CAST([] AS VARCHAR[]) END"
+_LIST = "CASE WHEN {c} LIKE '[%' THEN CASE WHEN json_valid({c}) AND json_type({c}) = 'ARRAY' THEN from_json({c}, '[\"VARCHAR\"]') ELSE CAST([] AS VARCHAR[]) END ELSE coalesce(string_split({c}, ','), CAST([] AS VARCHAR[])) END"
+_TERMS = f"""list_concat(list_concat(list_concat({_LIST.format(c="subject_tags")}, {_LIST.format(c="mood_tags")}), [s.country, {{place}}]), list_concat(CASE WHEN coalesce(s.drone_model, '') <> '' THEN ['aerial', 'drone'] ELSE CAST([] AS VARCHAR[]) END, CASE WHEN s.width >= 3840 THEN ['4k'] ELSE CAST([] AS VARCHAR[]) END))"""
+_TRIMMED = "nullif(lower(regexp_replace(replace(x, '-', ' '), '^[ \t\r\n\f\v]+|[ \t\r\n\f\v]+$', '', 'g')), '')"
+_WORDS = f"list_filter(list_transform(raw, lambda x: {_TRIMMED}), lambda x: x IS NOT NULL)"
+_CASED = "list_reduce(list_transform(regexp_extract_all({x}, '\\p{{L}}+|\\P{{L}}+'), lambda w: concat(upper(w[1:1]), lower(w[2:]))), lambda a, b: concat(a, b))"
+_TEXT = "coalesce(CASE WHEN isnan({x}) THEN 'NaN' ELSE CAST({x} AS VARCHAR) END, '')"
+_PLACED = f"""WITH c AS {_SHOT}, s AS {_SRC},
+    j AS (SELECT c.id, c.in_point, c.out_point, c.license_tier, c.person_in_frame, c.technical_score, c.aesthetic_score, coalesce(c.inferred_site, s.site) AS place, s.country, s.captured_at, s.gps_lat, s.gps_lon, s.drone_model, s.width, s.height, s.fps, s.aspect, s.relpath,
+          floor((c.out_point - c.in_point) * 1e3 + 0.5) / 1e3 AS seconds, {_TERMS.format(place="coalesce(c.inferred_site, s.site)")} AS raw FROM c JOIN s ON s.id = c.source_id),
+    k AS (SELECT *, {_WORDS} AS l, coalesce(nullif(concat_ws(' · ', nullif(place, ''), nullif(country, '')), ''), 'Aerial footage') AS spot FROM j),
+    d AS (SELECT *, list_filter(l, lambda x, i: list_position(l, x) = i) AS words, {_CASED.format(x="spot")} AS title FROM k)"""
 SQL = {
     "f01_frame_rate": f"WITH c AS {_SRC} SELECT id, CASE WHEN id % 5 > 2 THEN floor(fps * 1000 + 0.5) / 1000 END AS fps FROM c",
     "f02_rotation": f"WITH c AS {_SRC} SELECT id, CASE WHEN id % 3 = 0 THEN ((-90 * (id % 7)) % 360 + 360) % 360 WHEN id % 3 = 1 THEN 90 ELSE 0 END AS degrees FROM c",
@@ -431,25 +418,32 @@ SQL = {
         concat('out/', {_SLUG.format(x="country", d="unknown-country")}, '/', {_YEAR}, '/', printf('%06d', id), '_', {_SLUG.format(x=_STEM, d="source")}, CASE WHEN coalesce(site, '') = '' THEN '' ELSE concat('_', {_SLUG.format(x="site", d="site")}) END, '.mp4') AS path,
         CASE WHEN coalesce(drone_model, '') = '' THEN 'Maker' ELSE concat('Maker ', drone_model) END AS model FROM c""",
     "f12_titles": "SELECT doc_id, coalesce(nullif(substr(regexp_replace(split_part(split_part(text, '.', 1), ',', 1), '^[\\s\\v]+|[\\s\\v]+$', '', 'g'), 1, 120), ''), 'Aerial Footage') AS title FROM documents",
-    "f13_keywords": f"""WITH c AS {_SHOT}, s AS {_SRC},
-        k AS (SELECT c.id, list_concat(list_concat(list_concat({_LIST.format(c="subject_tags")}, {_LIST.format(c="mood_tags")}), [s.country, s.site]), list_concat(CASE WHEN coalesce(s.drone_model, '') <> '' THEN ['aerial', 'drone'] ELSE CAST([] AS VARCHAR[]) END, CASE WHEN s.width >= 3840 THEN ['4k'] ELSE CAST([] AS VARCHAR[]) END)) AS raw FROM c JOIN s ON s.id = c.source_id),
-        t AS (SELECT id, list_filter(list_transform(raw, lambda x: nullif(lower(trim(replace(x, '-', ' '))), '')), lambda x: x IS NOT NULL) AS l FROM k)
+    "f13_keywords": f"""WITH c AS {_SHOT}, s AS {_SRC}, k AS (SELECT c.id, {_TERMS.format(place="s.site")} AS raw FROM c JOIN s ON s.id = c.source_id), t AS (SELECT id, {_WORDS} AS l FROM k)
         SELECT id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '; ') AS keywords FROM t""",
     "f20_crops": f"""WITH c AS {_SRC}, r AS (SELECT *, CAST(width AS DOUBLE) / height AS q FROM c),
         s AS (SELECT id, q, width > 0 AND height > 0 AND abs(q - 9e0 / 16) >= 1e-3 AS cut, CAST(round_even(height * 9e0 / 16, 0) AS BIGINT) AS a, CAST(round_even(width * 16e0 / 9, 0) AS BIGINT) AS b, width, height FROM r)
         SELECT id, CASE WHEN cut THEN CASE WHEN q > 9e0 / 16 THEN greatest(2, a - a % 2) ELSE greatest(2, width - width % 2) END END AS crop_w, CASE WHEN cut THEN CASE WHEN q > 9e0 / 16 THEN greatest(2, height - height % 2) ELSE greatest(2, b - b % 2) END END AS crop_h FROM s""",
     "f33_last_wins": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) AS v WHERE rn = 1",
-    "f39_outside_vocabulary": f"""WITH c AS {_SHOT}, e AS (SELECT id, unnest(from_json(mood_tags, '["VARCHAR"]')) AS tag FROM c WHERE mood_tags LIKE '[%]' AND json_valid(mood_tags))
-        SELECT tag, count(DISTINCT id) AS n FROM e WHERE tag IS NOT NULL AND tag NOT IN ({", ".join(f"'{m}'" for m in tx.MOODS)}) GROUP BY tag""",
-    "s03_probe": f"WITH c AS {_SRC} SELECT id, 125e-1 AS duration, CASE WHEN id % 2 = 0 THEN height ELSE width END AS width, CASE WHEN id % 2 = 0 THEN width ELSE height END AS height, 2997e-2 AS fps, codec, bitrate, 105e-1 AS gps_lat, -2025e-2 AS gps_lon, nullif(drone_model, '') AS drone_model FROM c",
+    "f39_outside_vocabulary": f"""WITH c AS {_SHOT}, l AS (SELECT id, 'subject_tags' AS list, subject_tags AS t, {_LIST.format(c="subject_tags")} AS a FROM c UNION ALL SELECT id, 'mood_tags', mood_tags, {_LIST.format(c="mood_tags")} FROM c),
+        e AS (SELECT id, list, t, unnest(a) AS x FROM l), g AS (SELECT id, list, CASE WHEN t LIKE '[%' THEN x ELSE nullif(regexp_replace(x, '^[ \t\r\n\f\v]+|[ \t\r\n\f\v]+$', '', 'g'), '') END AS tag FROM e)
+        SELECT list, tag, count(DISTINCT id) AS n FROM g WHERE tag IS NOT NULL AND NOT (list = 'subject_tags' AND tag IN ({", ".join(f"'{m}'" for m in tx.SUBJECTS)})) AND NOT (list = 'mood_tags' AND tag IN ({", ".join(f"'{m}'" for m in tx.MOODS)})) GROUP BY list, tag""",
+    "s03_probe": f"""WITH c AS {_SRC} SELECT id, 125e-1 AS duration, CASE WHEN id % 2 = 0 THEN height ELSE width END AS width, CASE WHEN id % 2 = 0 THEN width ELSE height END AS height, 2997e-2 AS fps, codec, bitrate,
+        CASE WHEN id % 3 = 0 THEN coalesce(nullif(captured_at, ''), '2020-02-02T00:00:00Z') ELSE '2020-02-02T00:00:00Z' END AS captured_at,
+        CASE id % 3 WHEN 0 THEN 105e-1 WHEN 1 THEN 305e-1 END AS gps_lat, CASE id % 3 WHEN 0 THEN -2025e-2 WHEN 1 THEN 4025e-2 END AS gps_lon,
+        CASE id % 3 WHEN 0 THEN CASE WHEN coalesce(drone_model, '') = '' THEN 'Maker' ELSE concat('Maker ', drone_model) END WHEN 1 THEN nullif(drone_model, '') END AS drone_model FROM c""",
     "s08_conformed": f"WITH c AS {_SRC} SELECT id, country, CAST(NULL AS VARCHAR) AS purged_at FROM c",
-    "s09_upserted": f"WITH {_VERSIONS} SELECT coalesce(x.id, b.id) AS id, CASE WHEN x.id IS NOT NULL THEN x.size_bytes ELSE b.size_bytes END AS size_bytes, CASE WHEN x.id IS NOT NULL THEN x.country ELSE b.country END AS country, b.width FROM b FULL JOIN x ON x.id = b.id",
+    "s09_upserted": f"WITH {_ENDS} SELECT o.id, z.captured_at, z.gps_lat, z.gps_lon, o.width FROM o JOIN z ON z.id = o.id",
     "s10_replaced": f"""WITH c AS {_SHOT}, f AS (SELECT source_id, min(in_point) AS in_point FROM c WHERE source_id % 10 = 0 GROUP BY source_id)
         SELECT source_id, shot_index, in_point, motion_class, CAST(NULL AS INTEGER) AS continuous_move FROM c WHERE source_id % 10 <> 0 UNION ALL SELECT source_id, 0, in_point, NULL, 1 FROM f""",
-    "s11_patched": f"WITH {_VERSIONS} SELECT b.id, CASE WHEN x.id IS NOT NULL AND b.id % 4 = 0 THEN x.size_bytes ELSE b.size_bytes END AS size_bytes, CASE WHEN x.id IS NOT NULL AND b.id % 5 = 0 THEN x.country ELSE b.country END AS country, b.width FROM b LEFT JOIN x ON x.id = b.id",
-    "s13_manifest": f"""WITH c AS {_SHOT}, s AS {_SRC} SELECT c.id, coalesce(s.country, '') AS country, coalesce(c.inferred_site, s.site, '') AS site, coalesce(s.captured_at, '') AS captured_at, coalesce(CAST(nullif(s.width, 0) AS VARCHAR), '') AS width,
-        coalesce(c.license_tier, '') AS license_tier, floor((c.out_point - c.in_point) * 1e3 + 0.5) / 1e3 AS duration_seconds FROM c JOIN s ON s.id = c.source_id""",
-    "s25_ingest_plan": f"WITH c AS {_SRC} SELECT path, CASE WHEN id % 5 = 0 THEN 'added' WHEN id % 7 = 0 OR mtime IS NULL OR duration IS NULL OR size_bytes IS NULL THEN 'updated' ELSE 'skipped' END AS status FROM c",
+    "s11_patched": f"WITH {_ENDS} SELECT o.id, z.captured_at, z.gps_lat, z.gps_lon, o.width FROM o JOIN z ON z.id = o.id",
+    "s13_manifest": f"""{_PLACED} SELECT id AS shot_id, concat({_SLUG.format(x="country", d="unknown-country")}, '/', {_YEAR}, '/', printf('%06d', id), '_', {_SLUG.format(x=_STEM, d="source")}, CASE WHEN coalesce(place, '') = '' THEN '' ELSE concat('_', {_SLUG.format(x="place", d="site")}) END, '.mp4') AS file,
+        title, '' AS description, array_to_string(words, '; ') AS keywords, coalesce(country, '') AS country, coalesce(place, '') AS site, coalesce(captured_at, '') AS captured_at, {_TEXT.format(x="gps_lat")} AS gps_lat, {_TEXT.format(x="gps_lon")} AS gps_lon, coalesce(drone_model, '') AS drone_model,
+        coalesce(CAST(nullif(width, 0) AS VARCHAR), '') AS width, coalesce(CAST(nullif(height, 0) AS VARCHAR), '') AS height, {_TEXT.format(x="nullif(fps, 0)")} AS fps, seconds AS duration_seconds, coalesce(license_tier, '') AS license_tier, {_TEXT.format(x="aesthetic_score")} AS aesthetic_score, {_TEXT.format(x="technical_score")} AS technical_score FROM d""",
+    "s14_side_documents": f"""{_PLACED} SELECT id, replace(to_json({{'shot_id': id, 'title': title, 'description': CAST(NULL AS VARCHAR), 'keywords': words, 'location': {{'country': country, 'site': place, 'latitude': gps_lat, 'longitude': gps_lon}},
+        'capture': {{'captured_at': captured_at, 'drone_model': drone_model}}, 'technical': {{'width': width, 'height': height, 'fps': fps, 'duration_seconds': seconds, 'aspect': aspect}},
+        'editorial': {{'person_in_frame': coalesce(person_in_frame <> 0, false), 'license_tier': license_tier, 'aesthetic_score': aesthetic_score, 'technical_score': technical_score}},
+        'provenance': {{'source_file': relpath, 'in_point': in_point, 'out_point': out_point}}}}), ':NaN', ':"NaN"') AS document FROM d""",
+    "s25_ingest_plan": f"WITH c AS {_SRC} SELECT path, CASE WHEN purged_at IS NOT NULL THEN 'added' WHEN scene_detected_at IS NULL OR mtime IS NULL OR duration IS NULL OR size_bytes IS NULL THEN 'updated' ELSE 'skipped' END AS status FROM c",
     "s_violations": f"""WITH c AS {_SHOT} SELECT id, 'ends after it starts' AS rule FROM c WHERE NOT out_point > in_point UNION ALL SELECT id, 'score in range' FROM c WHERE technical_score IS NOT NULL AND (isnan(technical_score) OR NOT technical_score BETWEEN 0 AND 1)
         UNION ALL SELECT id, 'known class' FROM c WHERE motion_class NOT IN ('held', 'move', 'reposition') UNION ALL SELECT id, 'known tier' FROM c WHERE license_tier NOT IN ('public', 'non-exclusive', 'exclusive')""",
     "s_repeated": "SELECT id, count(*) AS n FROM sources GROUP BY id HAVING count(*) > 1",
@@ -459,7 +453,7 @@ SQL = {
     "a14_linear_head": f"WITH v AS (SELECT vec_id // 5 AS shot, list_dot_product(CAST(embedding AS DOUBLE[]), CAST({_HEAD} AS DOUBLE[])) / 1e1 / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) + 5e-1 AS x FROM embeddings) "
     "SELECT shot, floor(greatest(0e0, least(1e0, avg(x))) * 1e4 + 0.5) / 1e4 AS score FROM v GROUP BY shot",
     "a17_rejected": _SCORED + "SELECT j.id, CASE WHEN low THEN printf('technical below floor (%.2f < 0.15)', floor(k.t * 1e2 + 0.5) / 1e2) ELSE printf('bottom 35%% (< %.3f)', floor(threshold * 1e3 + 0.5) / 1e3) END AS reason FROM j JOIN k ON k.id = j.id CROSS JOIN q WHERE low OR j.combined < threshold - 1e-9",
-    "a18_summary": _SCORED + "SELECT count(combined) AS considered, count(*) FILTER (WHERE low) AS floor_failures, count(*) FILTER (WHERE NOT coalesce(low, false) AND combined < threshold - 1e-9) AS below, floor(max(threshold) * 1e4 + 0.5) / 1e4 AS threshold FROM j CROSS JOIN q",
+    "a18_summary": _SCORED + "SELECT count(*) AS considered, count(*) FILTER (WHERE low) AS floor_failures, count(*) FILTER (WHERE NOT coalesce(low, false) AND combined < threshold - 1e-9) AS below, count(*) FILTER (WHERE coalesce(low, false) OR combined < threshold - 1e-9) AS rejected, floor(max(threshold) * 1e4 + 0.5) / 1e4 AS threshold FROM j CROSS JOIN q",
     "q01_unsegmented": f"WITH c AS {_SRC} SELECT id, relpath FROM c WHERE scene_detected_at IS NULL",
     "q02_unscored": f"WITH c AS {_SHOT} SELECT id FROM c WHERE scored_at IS NULL",
     "q03_untagged": f"WITH c AS {_SHOT} SELECT id, aesthetic_score FROM c WHERE rejected = 0 AND scored_at IS NOT NULL AND tagged_at IS NULL",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.adaptive.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in (base | conf).items():
         b = b.config(k, v)
@@ -28,15 +31,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that cut lineage is written to.
 
-    It is the cluster's own ``spark.checkpoint.dir``. Only where that is unset and none was set on the
-    context (a local test) does this make a temporary folder.
+    It is the cluster's own ``spark.checkpoint.dir``. Only where that is unset and none was set on the context does a
+    local session (a test) get a temporary folder, which is removed when Python ends; on a cluster, whose executors don't
+    share one, that is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get("spark.checkpoint.dir", "")
     now = sc._jsc.sc().getCheckpointDir()
     if now.isDefined():
         return now.get()
-    sc.setCheckpointDir(named or f"file://{tempfile.mkdtemp(prefix='skylode-checkpoint-')}")
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: name a folder that all executors share")
+        made = tempfile.mkdtemp(prefix="skylode-checkpoint-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        named = f"file://{made}"
+    sc.setCheckpointDir(named)
     return sc._jsc.sc().getCheckpointDir().get()
 
 

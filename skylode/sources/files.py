@@ -11,6 +11,8 @@ from skylode.functions import text as tx
 
 #: Suffixes of video files.
 VIDEO = (".mp4", ".mov", ".mxf", ".insv")
+# Fixed value: how the tags of one vendor's container start.
+VENDOR = "com.apple.quicktime."
 #: What a probe tool writes about a file, as far as it is read.
 PROBE = (
     "format struct<duration: string, bit_rate: string, tags: map<string, string>>, "
@@ -20,41 +22,47 @@ PROBE = (
 
 
 def scan_videos(spark: SparkSession, root: str, suffixes: Sequence[str] = VIDEO) -> DataFrame:
-    """(path, size_bytes, mtime) of video files below a folder; hidden files don't count, contents aren't read."""
+    """(path, size_bytes, mtime) of video files below a folder in order of path; hidden files don't count, contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("size_bytes"), F.unix_micros("modificationTime").alias("us"))
     name = F.lower(F.regexp_extract("path", r"[^/]*$", 0))
     wanted = F.lit(False)
     for s in suffixes:
         wanted = wanted | name.endswith(s)
-    return files.where(wanted & ~name.startswith(".")).select("path", "size_bytes", (F.col("us") / 1e6).alias("mtime"))
+    return files.where(wanted & ~name.startswith(".")).select("path", "size_bytes", (F.col("us") / 1e6).alias("mtime")).orderBy("path")
 
 
 def probe_fields(document: Column) -> dict[str, Column]:
-    """Columns of a probe document (JSON text); NULLs where it isn't one or says nothing."""
+    """Columns of a probe document (JSON text); NULLs where it isn't one or says nothing.
+
+    Tags are found whatever their case (of several that differ in case only the last counts), empty ones count as missing, and a
+    vendor's tag goes before the general one. Only the time of creation falls back on the video stream's tags.
+    """
     p = F.from_json(document, PROBE)
     video = F.get(F.filter(p["streams"], lambda s: s["codec_type"] == "video"), F.lit(0))
 
     def tag(tags: Column, name: str) -> Column:
         found = F.filter(F.map_entries(tags), lambda e: F.lower(e["key"]) == name)
-        return F.get(found, F.lit(0))["value"]
+        return tx.present(F.get(found, F.size(found) - 1)["value"])
+
+    def first_tag(*names: str) -> Column:
+        return F.coalesce(*[tag(p["format"]["tags"], n) for n in names])
 
-    both = lambda name: F.coalesce(tag(p["format"]["tags"], name), tag(video["tags"], name))
     side = F.get(F.filter(F.transform(video["side_data_list"], lambda d: d["rotation"]), lambda r: r.isNotNull()), F.lit(0))
     turned = tx.rotation(side, tag(video["tags"], "rotate").try_cast("int")).isin(90, 270)
-    lat, lon = tx.latitude_longitude(both("location"))
+    lat, lon = tx.latitude_longitude(first_tag(VENDOR + "location.iso6709", "location"))
     width, height = F.when(turned, video["height"]).otherwise(video["width"]), F.when(turned, video["width"]).otherwise(video["height"])
     return {
-        "duration": F.coalesce(p["format"]["duration"].try_cast("double"), video["duration"].try_cast("double")),
+        "duration": F.coalesce(tx.present(p["format"]["duration"]), video["duration"]).try_cast("double"),
         "width": width,
         "height": height,
         "fps": tx.frame_rate(video["r_frame_rate"]),
         "codec": video["codec_name"],
         "bitrate": p["format"]["bit_rate"].try_cast("bigint"),
         "aspect": tx.aspect_label(width, height),
-        "captured_at": both("creation_time"),
+        "captured_at": F.coalesce(first_tag("creation_time"), tag(video["tags"], "creation_time")),
         "gps_lat": lat,
         "gps_lon": lon,
-        "drone_model": tx.joined(both("make"), both("model")),
+        "drone_model": tx.joined(first_tag(VENDOR + "make", "make"), first_tag(VENDOR + "model", "model")),
     }
 
 

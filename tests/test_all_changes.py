@@ -8,7 +8,7 @@ from conftest import DATA, same_rows
 from skylode.plans import shaping
 
 
-@pytest.mark.parametrize("name", ["s09_all_upserted", "s11_all_patched"])
+@pytest.mark.parametrize("name", ["s09_upserted", "s11_patched"])
 def test_current_rows_come_out(spark, duck, name):
     same_rows(shaping.QUERIES[name](spark, DATA), duck.sql(f"SELECT id, captured_at, gps_lat, gps_lon, width FROM {shaping._SRC}"))
 

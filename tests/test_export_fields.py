@@ -41,7 +41,7 @@ def number(x):
 
 def test_manifest_fields(spark, duck):
     want = current(duck)
-    df = shaping.QUERIES["s13_full_manifest"](spark, DATA)
+    df = shaping.QUERIES["s13_manifest"](spark, DATA)
     assert df.columns == FIELDS
     got = df.collect()
     assert {r.shot_id for r in got} == set(want) and len(got) == len(want)

@@ -32,3 +32,20 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_a_package_of_llm(spark, monkeypatch):
+    """A package that only the subpackage needs may be missing: the core's queries stay."""
+    import importlib
+
+    import __spark_entry__
+
+    whole = importlib.import_module
+
+    def missing(name, *a):
+        if name.startswith("skylode.llm"):
+            raise ModuleNotFoundError(name)
+        return whole(name, *a)
+
+    monkeypatch.setattr(importlib, "import_module", missing)
+    assert set(__spark_entry__.queries()) == set(QUERIES)
