@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ ASPECTS = (("16:9", 16 / 9), ("9:16", 9 / 16), ("4:3", 4 / 3), ("1:1", 1.0), ("2
 CLOSE = 0.02
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``x``, which is worked out once."""
+    return F.transform(F.array(x), f)[0]
+
+
 def present(x: Column) -> Column:
     """``x``, or NULL where it is empty text."""
     return F.nullif(x, F.lit(""))
@@ -117,7 +124,7 @@ def tag_elements(text: Column) -> Column:
     # as the only element of the only field of an object, so that anything behind the array makes the text invalid
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
     outer = F.from_json(F.concat(F.lit('{"a":['), text, F.lit("]}")), "map<string, array<array<string>>>", options)
-    parsed = F.when((F.size(outer) == 1) & (F.size(outer["a"]) == 1), outer["a"][0])
+    parsed = let(outer, lambda o: F.when((F.size(o) == 1) & (F.size(o["a"]) == 1), o["a"][0]))  # parsed once, not for each use
     return F.when(text.startswith("["), parsed).otherwise(F.split(text, ","))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylode.functions.scoring import clamp, rounded, spread
+from skylode.functions.text import let
 
 RUN = "array<struct<start: double, end: double, cls: string>>"
 SPAN = "array<struct<start: double, end: double, spread: double>>"
@@ -36,11 +37,6 @@ class Motion:
     max_spread: float = 3.0
 
 
-def let(x: Column, f: Callable[[Column], Column]) -> Column:
-    """``f`` of ``x``, which is worked out once."""
-    return F.transform(F.array(x), f)[0]
-
-
 def jitter_of(shift: Column, drift: Column) -> Column:
     """The share of movement that cancels itself out; 0 without movement."""
     return F.when(shift < 1e-9, 0.0).otherwise(clamp((shift - drift) / F.nullif(shift, F.lit(0.0))))
