@@ -175,7 +175,8 @@ def cooccurrence(baskets: DataFrame, items: str = "items", *, min_pairs: int = 1
     in no pair, so it is left out before the products, if the items that stay are at most ``most_items`` (their
     names then go to all tasks); beyond that all items are multiplied, and the result is the same.
     """
-    clean = cut(baskets.select(F.array_distinct(F.array_compact(F.col(f"`{items}`"))).alias("items")).where(F.size("items") > 0))
+    # filtered after the cut: a filter on what is computed here would compute it twice
+    clean = cut(baskets.select(F.array_distinct(F.array_compact(F.col(f"`{items}`"))).alias("items"))).where(F.size("items") > 0)
     n = clean.count()
     singles = clean.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
     keep = None
