@@ -1,10 +1,10 @@
 """Score cutoffs that keep a target fraction of each group.
 
-Bisection of values over sorted runs: every task sorts its own scores, once, into runs per group, which are cached. The
-cutoff of a group with n scores is its k-th greatest. Rounds of pivots then narrow, for all groups at once,
-the range of values that can hold it: each run ranks the pivots by binary search, only the ranks are added
-up, and the range shrinks by the number of pivots. Rounds depend on the width of a double, not on the rows; no
-rows move, so a group that holds most rows is no heavier than others.
+Multi-sequence selection: every task sorts its own scores, once, into runs per group, which are cached. The cutoff of a
+group with n scores is its k-th greatest. Each round draws pivots from the runs, in proportion to what is left of them,
+and every run ranks the pivots by binary search; only the ranks are added up. They narrow, for all groups at once, the
+range of indices in each run that can still hold the cutoff, and the next round reads only these ranges. A group whose
+range has no more scores than a round has pivots is done. No rows move, so a group that holds most rows is no heavier than others.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,21 +21,8 @@ from skylode.session import cut
 
 _RUN = 1 << 16
 _SORTED_AT_ONCE = 1 << 20
-_PIVOTS = 1 << 14
+_PIVOTS = 1 << 16
 _MOST_GROUPS = 2_000_000
-_LOW_BITS = np.int64(0x7FFFFFFFFFFFFFFF)
-
-
-def order_key(x: np.ndarray) -> np.ndarray:
-    """Whole numbers in the order of the doubles ``x`` (no NaN; -0 equals 0)."""
-    bits = (np.asarray(x, np.float64) + 0.0).view(np.int64)
-    return np.where(bits >= 0, bits, bits ^ _LOW_BITS)
-
-
-def from_key(k: int) -> float:
-    """The double that :func:`order_key` gave ``k``."""
-    bits = np.array([k], np.int64)
-    return float(np.where(bits >= 0, bits, bits ^ _LOW_BITS).view(np.float64)[0])
 
 
 def sorted_runs(rows: DataFrame) -> DataFrame:
@@ -74,57 +62,103 @@ def _lists(column: pa.Array) -> Iterator[np.ndarray]:
         yield flat[i:j]
 
 
-def _ranks(runs: DataFrame, names: list[str], pivots: np.ndarray) -> np.ndarray:
-    """How many scores of each group reach each of its pivots."""
-    at = {g: i for i, g in enumerate(names)}
-    m = pivots.shape[1]
-    sent = runs.sparkSession.sparkContext.broadcast((at, pivots))
+def _pivots(runs: DataFrame, left: dict[str, int], each: int, seed: int) -> list[np.ndarray]:
+    """Distinct scores of each group in order: about ``each`` of the ``left`` ones in its runs, all if they are no more.
+
+    A run gives scores at even steps, as many as its part of the group; fractions are settled by a draw that depends on
+    the run's place only, so a task that runs again gives the same.
+    """
+    sent = runs.sparkSession.sparkContext.broadcast({g: (i, n) for i, (g, n) in enumerate(left.items())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, pivots = sent.value
-        total: dict[int, np.ndarray] = {}
+        rng = np.random.default_rng((seed, TaskContext.get().partitionId()))
         for b in batches:
             for g, s in zip(b.column(0).to_pylist(), _lists(b.column(1)), strict=True):
-                if (i := at.get(g)) is not None:
-                    total[i] = total.get(i, 0) + len(s) - np.searchsorted(order_key(s), pivots[i], "left")
-        for i, n in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(i * m, i * m + m)), pa.array(n)], ["at", "n"])
-
-    got = runs.select("grp", "scores").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(names) * m, np.int64)
-    out[got["at"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
+                if g in sent.value:
+                    i, n = sent.value[g]
+                    share = min(float(len(s)), each * len(s) / n)
+                    k = int(share + rng.random()) if share < len(s) else len(s)
+                    if k:
+                        x = s[((np.arange(k) + rng.random()) * (len(s) / k)).astype(np.int64).clip(0, len(s) - 1)] if k < len(s) else s
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), i, np.int64)), pa.array(x)], ["at", "score"])
+
+    got = runs.mapInArrow(run, "at bigint, score double").toArrow()
     sent.destroy()
-    return out.reshape(len(names), m)
+    at, score = got.column("at").to_numpy(), got.column("score").to_numpy()
+    order = np.argsort(at, kind="stable")
+    ends = np.searchsorted(at[order], np.arange(len(left) + 1))
+    return [np.unique(score[order[i:j]]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _ranks(runs: DataFrame, names: list[str], pivots: list[np.ndarray]) -> list[np.ndarray]:
+    """For each group and pivot how many scores reach it, and how many exceed it."""
+    ends = np.cumsum([0, *map(len, pivots)])
+    sent = runs.sparkSession.sparkContext.broadcast({g: (int(e), p) for g, e, p in zip(names, ends[:-1], pivots, strict=True)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for b in batches:
+            for g, s in zip(b.column(0).to_pylist(), _lists(b.column(1)), strict=True):
+                if g in sent.value:
+                    e, p = sent.value[g]
+                    t = total.setdefault(e, [0, 0])
+                    t[0] = t[0] + len(s) - np.searchsorted(s, p, "left")
+                    t[1] = t[1] + len(s) - np.searchsorted(s, p, "right")
+        for e, (reach, exceed) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(e, e + len(reach))), pa.array(reach), pa.array(exceed)], ["at", "reach", "exceed"])
+
+    got = runs.mapInArrow(run, "at bigint, reach bigint, exceed bigint").groupBy("at").agg(F.sum("reach").alias("reach"), F.sum("exceed").alias("exceed")).toArrow()
+    sent.destroy()
+    out = np.zeros((2, int(ends[-1])), np.int64)
+    out[:, got.column("at").to_numpy()] = got.column("reach").to_numpy(), got.column("exceed").to_numpy()
+    return np.split(out, ends[1:-1], axis=1)
+
+
+def _between(runs: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """What of each run lies strictly between its group's bounds; groups without bounds go."""
+    sent = runs.sparkSession.sparkContext.broadcast(bounds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for g, s in zip(b.column(0).to_pylist(), _lists(b.column(1)), strict=True):
+                if g in sent.value:
+                    low, high = sent.value[g]
+                    s = s[np.searchsorted(s, low, "right") : np.searchsorted(s, high, "left")]
+                    if len(s):
+                        yield pa.RecordBatch.from_arrays([pa.array([g], pa.string()), pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), pa.array(s))], ["grp", "scores"])
+
+    return cut(runs.mapInArrow(run, "grp string, scores array<double>"))
 
 
-def find_cutoffs(runs: DataFrame, permille: dict[str, int]) -> dict[str, tuple[int, float, int]]:
+def find_cutoffs(runs: DataFrame, permille: dict[str, int], most_pivots: int = _PIVOTS) -> dict[str, tuple[int, float, int]]:
     """Per group with scores: their number, the cutoff, and how many scores reach it."""
-    whole = runs.select("grp", F.size("scores").alias("k"), F.col("scores")[0].alias("lo"), F.element_at("scores", -1).alias("hi"))
-    ends = whole.groupBy("grp").agg(F.sum("k").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
-    ends = [r for r in ends if r.grp in permille]
-    if not ends:
-        return {}
-    names = [r.grp for r in ends]
-    n = np.array([r.n for r in ends], np.int64)
-    # ceil(n * permille / 1000), from 1 to n
-    k = np.array([min(r.n, max(1, -(-r.n * permille[r.grp] // 1000))) for r in ends], np.int64)
-    lo, hi = order_key([r.lo for r in ends]), order_key([r.hi for r in ends]) + 1
-    reach = n.copy()  # how many reach lo; fewer than k reach hi
+    sizes = {r.grp: r.n for r in runs.groupBy("grp").agg(F.sum(F.size("scores")).alias("n")).collect() if r.grp in permille}
+    # ceil(n * permille / 1000), from 1 to n: the cutoff's place among the scores left, from the greatest
+    place = {g: min(n, max(1, -(-n * permille[g] // 1000))) for g, n in sizes.items()}
+    left, above = dict(sizes), dict.fromkeys(sizes, 0)
+    rest = runs.select("grp", "scores")
     out: dict[str, tuple[int, float, int]] = {}
-    while len(names):
-        m = int(np.clip(_PIVOTS // len(names), 3, 1023))
-        # in whole numbers, as the distance may not fit a double
-        pivots = np.array([[a + (b - a) * j // (m + 1) for j in range(1, m + 1)] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], np.int64)
-        got = _ranks(runs, names, pivots)
-        enough = (got >= k[:, None]).sum(axis=1)
-        i = np.arange(len(names))
-        reach = np.where(enough > 0, got[i, np.maximum(enough - 1, 0)], reach)
-        lo, hi = np.where(enough > 0, pivots[i, np.maximum(enough - 1, 0)], lo), np.where(enough < m, pivots[i, np.minimum(enough, m - 1)], hi)
-        done = hi - lo <= 1
-        for j in np.flatnonzero(done):
-            out[names[j]] = (int(n[j]), from_key(int(lo[j])), int(reach[j]))
-        names = [g for g, d in zip(names, done, strict=True) if not d]
-        n, k, lo, hi, reach = (x[~done] for x in (n, k, lo, hi, reach))
+    seed = 0
+    while left:
+        names = list(left)
+        pivots = _pivots(rest, left, int(np.clip(most_pivots // len(names), 16, 1024)), seed)
+        seed += 1
+        bounds: dict[str, tuple[float, float]] = {}
+        for g, p, (reach, exceed) in zip(names, pivots, _ranks(rest, names, pivots), strict=True):
+            k = place[g]
+            hit = np.flatnonzero((reach >= k) & (exceed < k))
+            if len(hit):
+                out[g] = (sizes[g], float(p[hit[0]]), int(above[g] + reach[hit[0]]))
+                del left[g]
+                continue
+            under = int((exceed >= k).sum())  # pivots below the cutoff come first
+            low, high = (p[under - 1] if under else -np.inf), (p[under] if under < len(p) else np.inf)
+            over = int(reach[under]) if under < len(p) else 0
+            left[g] = int(exceed[under - 1]) - over if under else left[g] - over
+            place[g], above[g] = k - over, above[g] + over
+            bounds[g] = (float(low), float(high))
+        if left:
+            rest = _between(rest, bounds)
     return out
 
 

@@ -3,21 +3,11 @@ from __future__ import annotations
 import math
 import random
 
-import numpy as np
 import pytest
-from hypothesis import given
-from hypothesis import strategies as st
 
 from skylode.llm import selection
 
 
-@given(st.lists(st.floats(allow_nan=False), min_size=2))
-def test_keys_keep_the_order(x):
-    k = selection.order_key(np.array(x))
-    assert (np.argsort(np.array(x) + 0.0, kind="stable") == np.argsort(k, kind="stable")).all()
-    assert [selection.from_key(int(i)) for i in k] == [v + 0.0 for v in x]
-
-
 def brute(rows, targets, low=0.0, high=1.0):
     keep = {}
     for g, p in targets:
@@ -36,9 +26,10 @@ def brute(rows, targets, low=0.0, high=1.0):
     return out, cut
 
 
-@pytest.mark.parametrize("run", [1 << 16, 7])
-def test_against_brute_force(spark, monkeypatch, run):
+@pytest.mark.parametrize(("run", "pivots"), [(1 << 16, 1 << 16), (7, 1), (64, 200)])
+def test_against_brute_force(spark, monkeypatch, run, pivots):
     monkeypatch.setattr(selection, "_RUN", run)
+    monkeypatch.setattr(selection.find_cutoffs, "__defaults__", (pivots,))
     rng = random.Random(2)
     rows = [(rng.choice(["hot", "hot", "hot", "a", "b", "ties", None, "untargeted"]), i, rng.choice([rng.random(), round(rng.random(), 2), None, float("nan"), -0.5, 2.0, 0.0, -0.0, 5e-324])) for i in range(4000)]
     rows = [(g, i, 0.25 if g == "ties" and s is not None else s) for g, i, s in rows]
@@ -58,3 +49,18 @@ def test_extremes(spark):
     none = selection.Kept(df.limit(0), spark.createDataFrame([("g", 5)], "g string, p int"), group="g", key="id", score="s", permille="p")
     assert none.rows().collect() == [] and none.report().first().n == 0
     assert selection.Kept(df, spark.createDataFrame([], "g string, p int"), group="g", key="id", score="s", permille="p").report().collect() == []
+
+
+@pytest.mark.parametrize("kind", ["cubes", "one value", "two values", "tiny", "sorted"])
+def test_rounds_narrow_whatever_the_distribution(spark, kind):
+    """Many rounds of few pivots end at the exact cutoff, however the scores are spread."""
+    rng = random.Random(5)
+    make = {"cubes": lambda i: rng.random() ** 9, "one value": lambda i: 0.5, "two values": lambda i: float(i % 2), "tiny": lambda i: i * 5e-324, "sorted": lambda i: i / 20_000}[kind]
+    rows = [("g", i, make(i)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "g string, id long, s double").repartition(3)
+    runs = selection.sorted_runs(df.selectExpr("g AS grp", "id", "s AS score")).checkpoint()
+    ordered = sorted((s for _, _, s in rows), reverse=True)
+    for p in (1, 333, 999, 1000):
+        n, cutoff, kept = selection.find_cutoffs(runs, {"g": p}, most_pivots=16)["g"]
+        want = ordered[max(1, math.ceil(20_000 * p / 1000)) - 1]
+        assert (n, cutoff, kept) == (20_000, want, sum(x >= want for x in ordered))
