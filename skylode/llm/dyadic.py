@@ -1,14 +1,14 @@
 """Percentiles of groups from sketches that add up.
 
-A value in a known range is encoded as a whole number of ``bits`` bits. For every binary resolution there is a
-signed count sketch of the encoded values at that resolution; where a resolution has no more cells than
-counters are worth, the cells are counted exactly. Sketches of parts merge by addition, and a row with a
+A value in a known range is encoded as a whole number of ``bits`` bits. For every binary resolution that has more cells than
+a sketch has counters there is a signed count sketch of the encoded values at that resolution; the coarser ones are counted
+in full, which takes less room. Sketches of parts merge by addition, and a row with a
 negative weight takes back an earlier one. A percentile descends the resolutions, going left or right by
 the estimated count of the left half.
 
-Error: the cell at the finest exact resolution is certain, so no estimate is off by more than
-``range / 2**exact_bits``; inside the cell a sketch with ``width`` counters adds a rank error of about
-``sqrt(sum of squared counts / width)``.
+Error: the cell at the finest resolution counted in full is certain, so no estimate is off by more than
+``range / 2**exact_bits``. Inside the cell the sketches decide: a level with ``width`` counters a row adds a rank error of about
+``sqrt(sum of its squared counts / width)``, which the sketch itself tells; it is reported beside the certain bound.
 """
 
 from __future__ import annotations
@@ -35,12 +35,16 @@ class Dyadic:
 
     low: float = 0.0
     high: float = 1.0
-    bits: int = 14
-    exact_bits: int = 10
-    width: int = 512
+    bits: int = 24
+    width: int = 256
     depth: int = 5
     seed: int = 20_240_229
 
+    @property
+    def exact_bits(self) -> int:
+        """The finest resolution that has no more cells than a sketch has counters."""
+        return min(self.bits, (self.width * self.depth).bit_length() - 1)
+
     @property
     def counters(self) -> int:
         return (1 << self.exact_bits) + (self.bits - self.exact_bits) * self.depth * self.width
@@ -95,6 +99,13 @@ class Dyadic:
         inside = min(1.0, max(0.0, (rest + 0.5) / max(count, 1.0)))
         return self.low + (cell + inside) * (self.high - self.low) / (1 << self.bits)
 
+    def rank_error(self, counters: np.ndarray) -> float:
+        """About what ranks are off by, as a share of the values: the sketches' errors over the levels they stand for."""
+        n = int(counters[: 1 << self.exact_bits].sum())
+        rows = counters[1 << self.exact_bits :].astype(np.float64).reshape(-1, self.depth, self.width)
+        squares = np.median((rows * rows).sum(axis=2), axis=1)
+        return float(np.sqrt(squares.sum() / self.width) / n) if n else 0.0
+
     def percentile(self, counters: np.ndarray, pct: float) -> float:
         """Interpolated linearly between the two nearest ranks."""
         n = int(counters[: 1 << self.exact_bits].sum())
@@ -223,12 +234,13 @@ def merge(parts: DataFrame, groups: Sequence[str], tasks: int | None = None) ->
 
 
 def percentiles(merged: DataFrame, groups: Sequence[str], pcts: Sequence[float], shape: Dyadic = Dyadic()) -> DataFrame:
-    """(groups, metric, pct, n, value, error): each percentile, and what it is off by at most.
+    """(groups, metric, pct, n, value, error, rank_error): each percentile, what it is off by at most, and about what share of the
+    values its rank is off by.
 
     Groups without a value (or with all taken back) have no row.
     """
     keys = [*groups, "metric"]
-    more = [T.StructField("pct", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("error", T.DoubleType())]
+    more = [T.StructField("pct", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("error", T.DoubleType()), T.StructField("rank_error", T.DoubleType())]
     schema = T.StructType([*[merged.schema[k] for k in keys], *more])
     kind = to_arrow_schema(schema)
 
@@ -239,7 +251,8 @@ def percentiles(merged: DataFrame, groups: Sequence[str], pcts: Sequence[float],
                 counters = _unpacked(data)
                 n = int(counters[: 1 << shape.exact_bits].sum())
                 if n > 0:
-                    out += [(*key, float(p), n, shape.percentile(counters, p), shape.error) for p in pcts]
+                    off = shape.rank_error(counters)
+                    out += [(*key, float(p), n, shape.percentile(counters, p), shape.error, off) for p in pcts]
             if out:
                 yield _batch(out, kind)
 

@@ -26,7 +26,7 @@ def exact(rows, g, i, p):
     return len(v), float(np.percentile(v, p))
 
 
-@pytest.mark.parametrize("shape", [dyadic.Dyadic(), dyadic.Dyadic(bits=20, exact_bits=6, width=2048)])
+@pytest.mark.parametrize("shape", [dyadic.Dyadic(), dyadic.Dyadic(bits=20, width=16, depth=7)])
 def test_error_bound(spark, table, shape):
     got = dyadic.percentiles(dyadic.merge(run(spark, table, shape), ["g", "h"]), ["g", "h"], [0, 5, 50, 95, 100], shape).collect()
     assert len(got) == 4 * 2 * 5
@@ -36,10 +36,28 @@ def test_error_bound(spark, table, shape):
         assert abs(r.value - want) <= r.error + 1e-12
 
 
-def test_sketched_levels_help(spark, table):
-    shape = dyadic.Dyadic(bits=14, exact_bits=4, width=2048, depth=7)
-    got = dyadic.percentiles(dyadic.merge(run(spark, table, shape), ["g", "h"]), ["g", "h"], [50], shape).where("g = 'hot' AND metric = 'one'").first()
-    assert abs(got.value - exact(table, "hot", 2, 50)[1]) < 0.01 < got.error
+@pytest.mark.parametrize("n", [50, 20_000])
+def test_sketches_decide_inside_a_cell(spark, n):
+    """All values lie in one cell of the finest level counted in full, so that only the sketches can tell them apart."""
+    shape = dyadic.Dyadic()
+    cell = 2.0**-shape.exact_bits
+    rng = np.random.default_rng(3)
+    x = 0.5 + cell * rng.beta(2, 5, n)
+    got = dyadic.percentiles(dyadic.merge(run(spark, [("g", "k", float(v), None) for v in x], shape), ["g", "h"]), ["g", "h"], [5, 25, 50, 75, 95], shape).collect()
+    assert len(got) == 5 and shape.bits - shape.exact_bits == 14
+    for r in got:
+        rank = float((np.sort(x) <= r.value).mean())
+        assert 0 < r.rank_error < 0.5 and abs(rank - r.pct / 100) <= 3 * r.rank_error
+        assert abs(r.value - np.percentile(x, r.pct)) < 0.2 * cell
+    wide = dyadic.Dyadic(width=4096, depth=7)
+    assert wide.exact_bits == 14
+    fine = dyadic.percentiles(dyadic.merge(run(spark, [("g", "k", float(v), None) for v in x], wide), ["g", "h"]), ["g", "h"], [50], wide).first()
+    assert fine.rank_error < got[0].rank_error and abs(fine.value - np.percentile(x, 50)) < 0.05 * cell
+
+
+def test_levels(spark):
+    assert dyadic.Dyadic().exact_bits == 10 and dyadic.Dyadic(bits=6).exact_bits == 6
+    assert dyadic.Dyadic(bits=6).rank_error(np.ones(64, np.int64)) == 0.0
 
 
 def test_parts_and_deletions_add_up(spark, table):
