@@ -69,6 +69,19 @@ def brightness(luma: Column) -> Column:
     return F.when(F.size(luma) > 0, F.element_at(F.array_sort(luma), at) / 255.0)
 
 
+def brightness_of_counts(counts: Column) -> Column:
+    """:func:`brightness` of bytes given as a map from byte to how often it occurs; NULL for none."""
+    whole = F.aggregate(F.map_values(counts), F.lit(0).cast("bigint"), lambda s, n: s + n)
+    place = F.least(F.floor(whole * 0.8), whole - 1)
+    zero = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("byte"))
+
+    def step(s: Column, e: Column) -> Column:
+        seen = s["seen"] + e["value"]
+        return F.struct(seen.alias("seen"), F.coalesce(s["byte"], F.when(seen > place, e["key"])).alias("byte"))
+
+    return F.aggregate(F.array_sort(F.map_entries(counts)), zero, step, lambda s: s["byte"]) / 255.0
+
+
 def spread(speeds: Column, floor: float = 0.01) -> Column:
     """Fastest over slowest; 1 for none or no movement."""
     top = F.array_max(speeds)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylode.functions import scoring
 from skylode.functions import text as tx
 from skylode.operators import sequences as seq
+from skylode.operators.order import positions
 from skylode.operators.versions import current_rows
 from skylode.sources import files, store
 from skylode.sources.tables import read_table
@@ -101,11 +102,9 @@ def f39_outside_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def f33_last_wins(spark: SparkSession, folder: str) -> DataFrame:
-    """A user's last value of each type of event, as a map read back."""
+    """A user's last value of each type of event: the greatest by time, reduced before the shuffle."""
     e = read_table(spark, folder, "events", "user_id", "event_id", "ts", "event_type")
-    g = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))).alias("a"))
-    m = tx.last_wins(F.transform("a", lambda x: x["event_type"]), F.transform("a", lambda x: x["event_id"]))
-    return g.select("user_id", F.explode(m).alias("event_type", "event_id"))
+    return e.groupBy("user_id", "event_type").agg(F.max(F.struct("ts", "event_id")).alias("m")).select("user_id", "event_type", "m.event_id")
 
 
 def s03_probe(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,8 +228,10 @@ def a18_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def a10_brightness(spark: SparkSession, folder: str) -> DataFrame:
+    """How bright the backdrop of each user's pixels is; pixels are counted by value, of which there are 256."""
     e = read_table(spark, folder, "events", "user_id", "value").select("user_id", (F.floor(F.col("value") * 2) % 256).cast("int").alias("v"))
-    return e.groupBy("user_id").agg(F.collect_list("v").alias("luma")).select("user_id", scoring.rounded(scoring.brightness(F.col("luma")), 6).alias("luma"))
+    counts = e.groupBy("user_id", "v").agg(F.count(F.lit(1)).alias("n")).groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias("counts"))
+    return counts.select("user_id", scoring.rounded(scoring.brightness_of_counts(F.col("counts")), 6).alias("luma"))
 
 
 def a14_linear_head(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,12 +268,9 @@ def o02_top(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def o04_shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    """Place of each source in an order that a seed decides; made of ranks within hash prefixes, not in one task."""
+    """Place of each source in an order that a seed decides, sorted by range over all tasks."""
     key = F.md5(F.concat(F.lit("seed:"), F.col("id").cast("string")))
-    s = _sources(spark, folder, "width").select("id", key.alias("k"), F.substring(key, 1, 2).alias("p"))
-    sizes = s.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select(F.col("p").alias("q"), (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("base"))  # 256 rows
-    return s.join(before, F.col("p") == F.col("q")).select("id", (F.col("base") + F.row_number().over(Window.partitionBy("p").orderBy("k", "id"))).alias("place"))
+    return positions(_sources(spark, folder, "width").select("id", key.alias("k")), [F.col("k"), F.col("id")], "place").select("id", "place")
 
 
 def w17_numbered(spark: SparkSession, folder: str) -> DataFrame:

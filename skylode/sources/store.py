@@ -9,10 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skylode.operators.order import places_in_group
+
 SCHEMA_VERSION = 8
 
 
@@ -98,10 +100,13 @@ def patch(base: DataFrame, changes: DataFrame, key: str, flags: Mapping[str, str
     return j.select(*[F.when(F.coalesce(F.col(f"__f_{n}"), F.lit(False)), F.col(f"__v_{n}")).otherwise(F.col(f"`{n}`")).alias(n) if n in flags else F.col(f"`{n}`") for n in base.columns])
 
 
-def number_segments(segments: DataFrame, source: str, order: str) -> DataFrame:
-    """``segments`` with shot_index (from 0 in order) and continuous_move (1 if it is its source's only one)."""
-    w = Window.partitionBy(source)
-    return segments.withColumns({"shot_index": F.row_number().over(w.orderBy(order)) - 1, "continuous_move": (F.count(F.lit(1)).over(w) == 1).cast("int")})
+def number_segments(segments: DataFrame, source: str, order: str, *, most: int = 1 << 20) -> DataFrame:
+    """``segments`` with shot_index (from 0 in order) and continuous_move (1 if it is its source's only one).
+
+    A source with more than ``most`` segments is sorted over all tasks (see :func:`skylode.operators.order.places_in_group`).
+    """
+    placed = places_in_group(segments, source, order, "shot_index", "__size", most=most)
+    return placed.withColumn("continuous_move", (F.col("__size") == 1).cast("int")).drop("__size")
 
 
 def replace_children(base: DataFrame, fresh: DataFrame, source: str, order: str) -> DataFrame:

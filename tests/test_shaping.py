@@ -108,3 +108,8 @@ def test_kernels(spark):
     assert plugins.WordTagger(["golden-hour", "mist"])([], {"t": "Golden hour at sea"}) == {"subject_tags": ["golden-hour"]}
     d = plugins.DryRun()
     assert d.publish("a", "b") is None and d.noted == [("a", "b")]
+
+
+def test_brightness_of_counts(spark):
+    rows = [({20: 12, 230: 4},), ({},), ({1: 1, 2: 1, 3: 1, 4: 1, 5: 1},), (None,), ({0: 10**12},)]
+    assert values(spark, scoring.brightness_of_counts(F.col("x")), rows, "x map<int, bigint>") == [230 / 255, None, 5 / 255, None, 0.0]
