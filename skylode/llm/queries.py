@@ -208,6 +208,29 @@ _P6 = f"""
           AND c.technical_score BETWEEN 0 AND 1 AND NOT isnan(c.technical_score) AND c.aesthetic_score BETWEEN 0 AND 1 AND NOT isnan(c.aesthetic_score)),
     g AS (SELECT source_id, count(*) AS n, max(a) AS a, max(b) AS b, max(t) AS t, max(e) AS e FROM f GROUP BY source_id HAVING count(*) >= 3)
 """
+
+
+def _horner(table: tuple[float, ...], x: str) -> str:
+    """A polynomial as SQL, evaluated like numpy's."""
+    out = "0e0"
+    for c in table:
+        out = f"({out} * {x} + {c!r}::DOUBLE)"
+    return out
+
+
+_FOUR = {"a": "m.motion >= 0 AND m.motion < CAST('Infinity' AS DOUBLE) AND NOT isnan(m.motion)", "b": "m.stability BETWEEN 0 AND 100 AND NOT isnan(m.stability)", "t": "c.technical_score BETWEEN 0 AND 1 AND NOT isnan(c.technical_score)", "e": "c.aesthetic_score BETWEEN 0 AND 1 AND NOT isnan(c.aesthetic_score)"}
+_NAMED = {"a": "m.motion", "b": "m.stability", "t": "c.technical_score", "e": "c.aesthetic_score"}
+_P6_ALL = f"""
+    WITH c AS {_CURRENT.format(table="shots", key="id")}, m AS {_CURRENT.format(table="scores", key="shot_id")},
+    f AS (SELECT c.id AS shot_id, {", ".join(f"CASE WHEN {test} THEN {_NAMED[k]} + 0e0 END AS {k}" for k, test in _FOUR.items())} FROM c LEFT JOIN m ON m.shot_id = c.id),
+    {", ".join(f"""{k}d AS (SELECT {k} AS v, count(*) AS n FROM f WHERE {k} IS NOT NULL GROUP BY {k}),
+    {k}p AS (SELECT v, (sum(n) OVER (ORDER BY v) - n / 2e0) / (SELECT sum(n) FROM {k}d) AS p FROM {k}d),
+    {k}q AS (SELECT v, p, p - 5e-1 AS q, 180625e-6 - (p - 5e-1) * (p - 5e-1) AS r, sqrt(-ln(least(p, 1 - p))) AS s FROM {k}p),
+    {k}z AS (SELECT v, CASE WHEN abs(q) <= 425e-3 THEN q * {_horner(ranking._CENTRE[0], "r")} / {_horner(ranking._CENTRE[1], "r")}
+        ELSE sign(q) * CASE WHEN s <= 5 THEN {_horner(ranking._FLANK[0], "(s - 16e-1)")} / {_horner(ranking._FLANK[1], "(s - 16e-1)")} ELSE {_horner(ranking._TAIL[0], "(s - 5e0)")} / {_horner(ranking._TAIL[1], "(s - 5e0)")} END END AS z FROM {k}q)""" for k in _FOUR)},
+    w AS (SELECT shot_id, ({" + ".join(f"coalesce({k}z.z, 0e0)" for k in _FOUR)}) / nullif({" + ".join(f"CASE WHEN {k}z.z IS NULL THEN 0 ELSE 1 END" for k in _FOUR)}, 0) AS rating
+        FROM f {" ".join(f"LEFT JOIN {k}z ON {k}z.v = f.{k}" for k in _FOUR)})
+"""
 SQL = {
     "p2_found": _P2 + "SELECT tag_a, tag_b FROM r WHERE n_ab * n >= 2 * n_a * n_b",
     "p2_pairs": _P2 + "SELECT tag_a, tag_b, n_ab, n_a, n_b, n, round(CAST(n_ab AS DOUBLE) / n_a * n / n_b, 6) AS lift FROM r",
@@ -217,4 +240,5 @@ SQL = {
     "FROM keep_targets AS t LEFT JOIN s ON s.country = t.country LEFT JOIN k ON k.country = t.country GROUP BY t.country, t.keep_permille",
     "p5_found": _P5 + "SELECT country, motion_class, score, 50 AS pct FROM q WHERE n >= 200 AND p50 < 0.42 UNION ALL SELECT country, motion_class, score, 95 FROM q WHERE n >= 200 AND p95 < 0.75",
     "p6_found": _P6 + "SELECT f.source_id, min(f.shot_id) AS shot_id FROM f JOIN g ON g.source_id = f.source_id AND f.a = g.a AND f.b = g.b AND f.t = g.t AND f.e = g.e GROUP BY f.source_id HAVING count(*) = 1",
+    "p6_ranking": _P6_ALL + "SELECT row_number() OVER (ORDER BY rating DESC NULLS LAST, shot_id) AS position, shot_id, round(rating, 9) AS rating FROM w",
 }

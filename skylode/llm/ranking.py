@@ -9,13 +9,16 @@ partitions before. A monotone change of any score's scale changes nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from skylode.operators.order import positions  # noqa: F401  (the ranking's last step)
 from skylode.session import cut
 
 # Coefficients of the published rational approximations to the normal quantile (algorithm AS 241,
@@ -45,21 +48,27 @@ def normal_quantile(p: np.ndarray) -> np.ndarray:
     return np.where(np.abs(q) <= 0.425, middle, np.copysign(far, q))
 
 
-def normal_scores(values: DataFrame) -> DataFrame:
-    """(metric, value, z) of each distinct value: the normal quantile of its average rank.
+@dataclass
+class _Ranked:
+    """Distinct values of each metric with their counts, in order, and what the metrics hold in all."""
 
-    ``values`` has metric int and value double, without NULL or NaN. With n values of a metric, a value that
-    ``less`` are below and that ``c`` have gets the quantile of (less + c / 2) / n.
-    """
+    scores: DataFrame  # metric, value, c, z
+    total: dict[int, int]
+    distinct: dict[int, int]
+
+
+def _ranked(values: DataFrame) -> _Ranked:
     counts = values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("c"))
     # checkpointed, so that a partition keeps its number and rows in the second pass
     ordered = cut(counts.repartitionByRange("metric", "value").sortWithinPartitions("metric", "value"))
-    sums = ordered.groupBy(F.spark_partition_id().alias("part"), "metric").agg(F.sum("c").alias("n")).orderBy("metric", "part").collect()
+    sums = ordered.groupBy(F.spark_partition_id().alias("part"), "metric").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).orderBy("metric", "part").collect()
     below: dict[tuple[int, int], int] = {}
     total: dict[int, int] = {}
+    distinct: dict[int, int] = {}
     for r in sums:
         below[r.part, r.metric] = total.get(r.metric, 0)
         total[r.metric] = total.get(r.metric, 0) + r.n
+        distinct[r.metric] = distinct.get(r.metric, 0) + r.d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -73,49 +82,66 @@ def normal_scores(values: DataFrame) -> DataFrame:
                 upto = start + np.cumsum(c[mine])
                 z[mine] = normal_quantile((upto - c[mine] / 2) / total[m])
                 so_far[m] = int(upto[-1])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z)], ["metric", "value", "z"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(z)], ["metric", "value", "c", "z"])
 
-    return ordered.mapInArrow(run, "metric int, value double, z double")
+    return _Ranked(ordered.mapInArrow(run, "metric int, value double, c bigint, z double"), total, distinct)
 
 
-def combined(df: DataFrame, key: str, scores: dict[str, Column | str], weights: dict[str, float] | None = None, carry: Sequence[str] = ()) -> DataFrame:
+def normal_scores(values: DataFrame) -> DataFrame:
+    """(metric, value, z) of each distinct value: the normal quantile of its average rank.
+
+    ``values`` has metric int and value double, without NULL or NaN. With n values of a metric, a value that
+    ``less`` are below and that ``c`` have gets the quantile of (less + c / 2) / n.
+    """
+    return _ranked(values).scores.select("metric", "value", "z")
+
+
+def combined(df: DataFrame, key: str, scores: dict[str, Column | str], weights: dict[str, float] | None = None, carry: Sequence[str] = (), *, most_values: int = 1 << 18, hot_share: int = 1 << 12) -> DataFrame:
     """(key, carry, scores, rating) of each row: the weighted mean of its normal scores.
 
     ``scores`` gives each score's name and its Column, NULL where it is missing or invalid; NaN counts as
     missing. Missing scores are left out of the mean, whose weights are taken anew (equal by default); with none the
     rating is NULL. ``key`` is unique, ``carry`` are columns to keep. The sum is taken in a fixed order, so
     equal scores have equal ratings.
+
+    A score with at most ``most_values`` distinct values (counted first) is looked up in a broadcast table of them, so rows
+    don't move for it. For one with more, rows meet the ranks by a join on the value; values that more than one in ``hot_share`` rows
+    have, of which there are fewer than ``hot_share``, are looked up like the others, so no task gets all rows of a frequent value.
     """
     names = list(scores)
     weights = weights or dict.fromkeys(names, 1.0)
     x = {n: F.expr(c).cast("double") if isinstance(c, str) else c.cast("double") for n, c in scores.items()}
     base = cut(df.select(F.col(f"`{key}`").alias("__key"), *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(carry)], *[F.when(~F.isnan(x[n]), x[n] + 0.0).alias(f"__s{i}") for i, n in enumerate(names)]))
     every = F.filter(F.array(*[F.struct(F.lit(i).alias("metric"), F.col(f"__s{i}").alias("value")) for i in range(len(names))]), lambda s: s.value.isNotNull())
-    long = base.select("__key", *[f"__c{i}" for i in range(len(carry))], F.explode_outer(every).alias("__e")).select("__key", *[f"__c{i}" for i in range(len(carry))], "__e.metric", "__e.value")
-    z = normal_scores(base.select(F.explode(every).alias("e")).select("e.metric", "e.value"))
-    # narrow rows are shuffled by key, not the wide buffers that the aggregation fills
-    scored = long.join(z, ["metric", "value"], "left").repartition("__key")
-    wide = scored.groupBy("__key").agg(
-        *[F.max(f"__c{i}").alias(f"__c{i}") for i in range(len(carry))],
-        *[F.max(F.when(F.col("metric") == i, F.col("value"))).alias(f"__s{i}") for i in range(len(names))],
-        *[F.max(F.when(F.col("metric") == i, F.col("z"))).alias(f"__z{i}") for i in range(len(names))],
-    )
+    ranked = _ranked(base.select(F.explode(every).alias("e")).select("e.metric", "e.value"))
+    many = sorted(m for m, d in ranked.distinct.items() if d > most_values)
+    wanted = ~F.col("metric").isin(many)
+    for m in many:
+        wanted = wanted | ((F.col("metric") == m) & (F.col("c") > ranked.total[m] / hot_share))
+    known = ranked.scores.where(wanted).select("metric", "value", "z").toArrow().sort_by([("metric", "ascending"), ("value", "ascending")])
+    metric, value, z = (known.column(c).to_numpy() for c in ("metric", "value", "z"))
+    ends = np.searchsorted(metric, np.arange(len(names) + 1))
+    sent = base.sparkSession.sparkContext.broadcast([(value[i:j], z[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)])
+    width = len(base.columns) - len(names)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for i, (value, z) in enumerate(sent.value):
+                v = b.column(width + i).to_numpy(zero_copy_only=False).astype(np.float64)
+                at = np.minimum(np.searchsorted(value, v), max(0, len(value) - 1))
+                hit = value[at] == v if len(value) else np.zeros(len(v), bool)
+                found.append(pa.array(z[at] if len(value) else v, mask=~hit))
+            yield pa.RecordBatch.from_arrays([*b.columns, *found], [*b.schema.names, *[f"__z{i}" for i in range(len(names))]])
+
+    wide = base.mapInArrow(look_up, T.StructType([*base.schema.fields, *[T.StructField(f"__z{i}", T.DoubleType()) for i in range(len(names))]]))
+    if many:
+        wide = cut(wide)
+    for m in many:
+        open_ = F.col(f"__s{m}").isNotNull() & F.col(f"__z{m}").isNull()
+        rest = ranked.scores.where(F.col("metric") == m).select(F.col("value").alias("__v"), F.col("z").alias("__zv"))
+        met = wide.where(open_).join(rest, F.col(f"__s{m}") == F.col("__v")).withColumn(f"__z{m}", F.col("__zv")).drop("__v", "__zv")
+        wide = wide.where(~open_).unionByName(met)
     over = sum((F.when(F.col(f"__z{i}").isNotNull(), F.lit(float(weights[n]))).otherwise(0.0) for i, n in enumerate(names)), F.lit(0.0))
     mean = sum((F.coalesce(F.col(f"__z{i}") * float(weights[n]), F.lit(0.0)) for i, n in enumerate(names)), F.lit(0.0)) / F.nullif(over, F.lit(0.0))
     return wide.select(F.col("__key").alias(key), *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)], *[F.col(f"__s{i}").alias(n) for i, n in enumerate(names)], mean.alias("rating"))
-
-
-def positions(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
-    """``df`` with ``out``: 1 for the first row in ``order``, and so on, over all partitions.
-
-    ``order`` should be total. Rows are sorted by range, never in one task; ties go to one of the orders.
-    """
-    ordered = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("__at", F.monotonically_increasing_id())
-    sizes = ordered.groupBy(F.shiftright("__at", 33).cast("int").alias("part")).count().collect()
-    before, starts = 0, {}
-    for r in sorted(sizes, key=lambda r: r.part):
-        starts[r.part] = before
-        before += r["count"]
-    table = F.array(*[F.lit(starts.get(p, 0)).cast("bigint") for p in range(max(starts, default=0) + 1)])
-    place = table[F.shiftright("__at", 33).cast("int")] + F.col("__at").bitwiseAND((1 << 33) - 1) + 1
-    return ordered.select(*[F.col(f"`{c}`") for c in df.columns if c != out], place.alias(out))

@@ -37,9 +37,11 @@ def rows():
     return [(i, some(rng.lognormvariate(0, 3)), some(rng.random()), some(float(rng.randint(0, 3)))) for i in range(500)] + [(900, None, None, None), (901, float("nan"), None, None), (902, 1.0, 0.2, 3.0), (903, 1.0, 0.2, 3.0)]
 
 
-def test_against_brute_force(spark, rows):
+@pytest.mark.parametrize(("most", "hot"), [(1 << 18, 1 << 12), (10, 1 << 12), (10, 20), (0, 1)])
+def test_against_brute_force(spark, rows, most, hot):
+    """The same whether values are looked up, joined, or frequent ones looked up and the others joined."""
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "id long, a double, b double, c double, metric string, value int")
-    got = ranking.combined(df, "id", {"a": "a", "b": "b", "c": "c"}, {"a": 1.0, "b": 2.0, "c": 0.5}, carry=["metric"]).collect()
+    got = ranking.combined(df, "id", {"a": "a", "b": "b", "c": "c"}, {"a": 1.0, "b": 2.0, "c": 0.5}, carry=["metric"], most_values=most, hot_share=hot).collect()
     want = brute(rows, [1.0, 2.0, 0.5])
     assert len(got) == len(rows) and {r.metric for r in got} == {"x"}
     for r in got:
