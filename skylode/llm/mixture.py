@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylode.session import cut
@@ -49,7 +49,8 @@ class Mixture:
         source named twice in the targets takes the greatest weight and the greatest repeats. Sources without
         data get nothing and their share goes to the others in proportion; records whose source is NULL or
         has no target, and records of no (or NULL) size, are left out. Repeated rows are records of their
-        own. Targets come to the driver: an error beyond 100,000 sources.
+        own. Targets come to the driver: an error beyond 100,000 sources. So is a source whose size is still off
+        by more than ``tolerance`` after ``most_steps`` steps.
         """
         self.spark = sizes.sparkSession
         good = F.col(weight).cast("double")
@@ -115,6 +116,9 @@ class Mixture:
                     s.done = s.high - s.low <= 1e-13 * max(1.0, abs(s.high))
                 else:
                     s.tilt = s.tilt - 1.0 if off > 0 else s.tilt + 1.0
+        unsolved = sorted(n for n, s in self.active.items() if not s.done)
+        if unsolved:
+            raise ArithmeticError(f"{len(unsolved)} sources, such as {unsolved[0]}, miss their size after {most_steps} steps; raise most_steps or tolerance")
 
     def _round(self, seed: int) -> None:
         table = self._table([(n, s.tilt / s.mean, math.log(s.cap), s.cap) for n, s in self.active.items()], "src string, tilt double, most double, cap int")
@@ -129,20 +133,18 @@ class Mixture:
         reached = {n: float(base.get(n, 0)) for n in self.active}
         frm, width = {n: -1.0 for n in self.active}, 2.0
         for _ in range(2):
-            bins = self._table([(n, x) for n, x in frm.items()], "src string, frm double")
-            b = self.rated.where("turn IS NOT NULL").join(bins, "src").select("src", "t", F.floor((F.col("turn") - F.col("frm")) * (_BINS / width)).cast("int").alias("bin")).where(F.col("bin").between(0, _BINS - 1))
-            got = b.groupBy("src", "bin").agg(F.sum("t").alias("t")).collect()
-            by: dict[str, dict[int, int]] = {}
-            for x in got:
-                by.setdefault(x.src, {})[x.bin] = x.t
-            for n, s in self.active.items():
-                at = _BINS
-                for k, t in sorted(by.get(n, {}).items()):
-                    if reached[n] + t > s.goal:
-                        at = k
-                        break
-                    reached[n] += t
-                frm[n] += at * width / _BINS
+            # the first bin that would exceed the goal, and what those before it hold: one row per source comes back
+            bins = self._table([(n, x, self.active[n].goal - reached[n]) for n, x in frm.items()], "src string, frm double, room double")
+            b = self.rated.where("turn IS NOT NULL").join(bins, "src").select("src", "t", "room", F.floor((F.col("turn") - F.col("frm")) * (_BINS / width)).cast("int").alias("bin")).where(F.col("bin").between(0, _BINS - 1))
+            held = b.groupBy("src", "bin").agg(F.sum("t").alias("t"), F.first("room").alias("room"))
+            upto = F.sum("t").over(Window.partitionBy("src").orderBy("bin"))
+            full = held.withColumn("upto", upto).groupBy("src").agg(F.min(F.when(F.col("upto") > F.col("room"), F.col("bin"))).alias("at"), F.max(F.when(F.col("upto") <= F.col("room"), F.col("upto"))).alias("t")).collect()
+            at = dict.fromkeys(frm, _BINS)
+            for x in full:
+                at[x.src] = _BINS if x.at is None else x.at
+                reached[x.src] += x.t or 0
+            for n in frm:
+                frm[n] += at[n] * width / _BINS
             width /= _BINS
         for n, s in self.active.items():
             s.threshold = frm[n]

@@ -61,7 +61,7 @@ def _percentiles(spark: SparkSession, folder: str, pcts: tuple[float, ...]) -> D
     groups = ["country", "motion_class"]
     parts = dyadic.build(rows, groups, {"technical": "technical_score", "aesthetic": "aesthetic_score"})
     got = dyadic.percentiles(dyadic.merge(parts, groups), groups, pcts)
-    return got.select(*groups, F.col("metric").alias("score"), F.col("pct").cast("int").alias("pct"), "n", "value", "error")
+    return got.select(*groups, F.col("metric").alias("score"), F.col("pct").cast("int").alias("pct"), "n", "value", "error", "rank_error")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +72,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    """Five percentiles of both scores of each country and motion class, with their greatest error."""
+    """Five percentiles of both scores of each country and motion class, with their greatest error and that of their rank."""
     return _percentiles(spark, folder, (5.0, 25.0, 50.0, 75.0, 95.0))
 
 

@@ -67,6 +67,11 @@ def test_same_again(spark, sizes):
     assert one == two
 
 
+def test_unsolved_sources_are_an_error(spark, sizes):
+    with pytest.raises(ArithmeticError, match="after 1 steps"):
+        Mixture(sizes[0], targets(spark), most_steps=1)
+
+
 def test_empty(spark, sizes):
     assert Mixture(sizes[0].limit(0), targets(spark)).rows().collect() == []
     assert Mixture(sizes[0], targets(spark, [])).rows().collect() == []
