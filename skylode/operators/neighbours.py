@@ -205,17 +205,14 @@ def near_pairs(df: DataFrame, radius_m: float, *, key: str = "id", lat: str = "g
             second = part > other
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (task, second, home, ids[row], v[row, 0], v[row, 1], v[row, 2])], ["task", "second", "home", "id", "x", "y", "z"])
 
-    diagonal = np.zeros(int(first[-1]), bool)
-    for c in np.flatnonzero(blocks == 1):
-        diagonal[first[c]] = True
-    for c in np.flatnonzero(blocks > 1):
-        diagonal[first[c] + np.arange(blocks[c]) * (blocks[c] + 1)] = True
-
     def join_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, "task"):
             ids, home = t.column("id").to_numpy(), t.column("home").to_numpy()
             v = np.stack([t.column(c).to_numpy() for c in ("x", "y", "z")], axis=1)
-            if diagonal[t.column("task")[0].as_py()]:
+            at = t.column("task")[0].as_py()
+            cell = int(np.searchsorted(first, at, "right")) - 1
+            i, j = divmod(at - int(first[cell]), int(blocks[cell]))
+            if i == j:
                 one = two = np.arange(len(ids))
                 found = pairs_within(KdTree(v), None, r)
             else:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylode.operators.neighbours import near_pairs
+from skylode.operators.regions import containing_regions
 from skylode.operators.timestamps import to_instants
 from skylode.operators.versions import current_rows
 from skylode.sources.tables import read_table
@@ -24,7 +25,24 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_pairs(rows, 60.0)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
+def p3_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, region) of sources filmed inside a diamond of 5 degrees around a grid of centres, but for a square hole of 1 degree at each.
+
+    The tables have no polygons; these lie 10 degrees apart, so that about half of the earth is inside one.
+    """
+    n = F.col("id")
+    x, y = (n % 36) * 10 - 175 + F.lit(0.123), F.floor(n / 36) * 10 - 80 + F.lit(0.123)
+
+    def ring(*corners: tuple[float, float]):
+        return F.array(*[F.struct((x + a).alias("lon"), (y + b).alias("lat")) for a, b in corners])
+
+    rings = F.array(ring((5, 0), (0, 5), (-5, 0), (0, -5)), ring((1, 1), (-1, 1), (-1, -1), (1, -1)))
+    diamonds = spark.range(36 * 17).select(n.alias("region"), rings.alias("rings"))
+    rows = current_rows(read_table(spark, folder, "sources"), "id", "loaded_at", "gps_lat", "gps_lon")
+    return containing_regions(rows, diamonds)
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_regions": p3_regions}
 
 #: The same policies in another dialect; the abbreviations are those of the zones in the lookup.
 _P1 = r"""
@@ -78,4 +96,11 @@ SQL = {
         SELECT a.id AS id_a, b.id AS id_b FROM c AS a JOIN n AS b ON a.band = b.near
         WHERE a.id < b.id AND 2 * 6371008.8 * asin(sqrt(least(1e0, pow(sin(radians(b.la - a.la) / 2), 2) + cos(radians(a.la)) * cos(radians(b.la)) * pow(sin(radians(b.lo - a.lo) / 2), 2)))) <= 60
     """,
+    "p3_regions": """
+        WITH v AS (SELECT id, gps_lat AS la, gps_lon AS lo, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) AS rn FROM sources),
+        c AS (SELECT id, la, lo, CAST(floor((lo + 175 - 123e-3) / 10 + 0.5) AS BIGINT) AS i, CAST(floor((la + 80 - 123e-3) / 10 + 0.5) AS BIGINT) AS j FROM v
+              WHERE rn = 1 AND la BETWEEN -90 AND 90 AND lo BETWEEN -180 AND 180 AND NOT isnan(la) AND NOT isnan(lo) AND NOT (la = 0 AND lo = 0)),
+        d AS (SELECT *, abs(lo - (i * 10 - 175 + 123e-3)) AS dx, abs(la - (j * 10 - 80 + 123e-3)) AS dy FROM c)
+        SELECT id, (i + 36) % 36 + 36 * j AS region FROM d WHERE j BETWEEN 0 AND 16 AND dx + dy < 5 AND NOT (dx < 1 AND dy < 1)
+    """,
 }
