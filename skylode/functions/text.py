@@ -12,7 +12,7 @@ SUBJECTS = "coastline beach cliffs mountains forest desert river lake waterfall
 MOODS = "solitude vastness serenity drama desolation warmth golden-hour blue-hour overcast harsh-light mist storm nostalgia grandeur intimacy".split()
 # Names that some file systems keep for devices.
 DEVICES = "^(con|prn|aux|nul|com[1-9]|lpt[1-9])$"
-#: Named aspect ratios, tried in this order, and how close a picture must come.
+# Named aspect ratios, tried in this order, and how close a picture must come.
 ASPECTS = (("16:9", 16 / 9), ("9:16", 9 / 16), ("4:3", 4 / 3), ("1:1", 1.0), ("21:9", 21 / 9))
 CLOSE = 0.02
 
@@ -159,7 +159,7 @@ def crop_size(width: Column, height: Column) -> tuple[Column, Column]:
     ratio = width / F.nullif(height, F.lit(0))
     cut = (width > 0) & (height > 0) & (F.abs(ratio - 9 / 16) >= 0.001)
     wide = ratio > 9 / 16
-    return F.when(cut, F.when(wide, even(height * 9.0 / 16)).otherwise(even(width))), F.when(cut, F.when(wide, even(height)).otherwise(even(width * 16.0 / 9)))
+    return F.when(cut, F.when(wide, F.least(even(height * 9.0 / 16), even(width))).otherwise(even(width))), F.when(cut, F.when(wide, even(height)).otherwise(F.least(even(width * 16.0 / 9), even(height))))
 
 
 def last_wins(keys: Column, values: Column) -> Column:
@@ -169,6 +169,19 @@ def last_wins(keys: Column, values: Column) -> Column:
     return F.map_from_entries(F.transform(later, lambda e: F.struct(e["k"], e["v"])))
 
 
+def number_text(x: Column) -> Column:
+    """A number in as few characters as six digits allow: 3, 2.5, 0.125."""
+    t = F.format_string("%.6f", x.cast("double"))
+    return F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
+
+def known_facts(country: Column, site: Column, captured: Column, lat: Column, lon: Column, seconds: Column) -> Column:
+    """What is known of a shot, a line for each fact."""
+    named = lambda name, x: F.concat(F.lit(f"{name}: "), present(x))
+    position = F.when(lat.isNotNull() & lon.isNotNull(), F.format_string("GPS: %.4f, %.4f", lat.cast("double"), lon.cast("double")))
+    return F.concat_ws("\n", named("country", country), named("site noted in the archive", site), named("captured", captured), position, F.format_string("shot length: %.1fs", F.coalesce(seconds.cast("double"), F.lit(0.0))))
+
+
 def percent_text(share: Column, threshold: Column) -> Column:
     """Such as: bottom 35% (< 0.382)."""
     return F.format_string("bottom %.0f%% (< %.3f)", share * 100, F.floor(threshold * 1000 + 0.5) / 1000)

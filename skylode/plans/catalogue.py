@@ -6,6 +6,6 @@ from types import ModuleType
 
 
 def modules() -> tuple[ModuleType, ...]:
-    from skylode.plans import sequences, shaping, streams, training
+    from skylode.plans import publishing, sequences, shaping, streams, training
 
-    return (training, sequences, shaping, streams)
+    return (training, sequences, shaping, publishing, streams)

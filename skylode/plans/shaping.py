@@ -67,8 +67,9 @@ def f06_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def f12_titles(spark: SparkSession, folder: str) -> DataFrame:
-    none = F.lit(None).cast("string")
-    return read_table(spark, folder, "documents", "doc_id", "text").select("doc_id", tx.title(F.col("text"), none, none).alias("title"))
+    """A title for each document: its first clause, else the place of its shot."""
+    d = read_table(spark, folder, "documents", "doc_id", "text", "shot_id").join(read_table(spark, folder, "shot_details", "id", "country", "site"), F.col("shot_id") == F.col("id"), "left")
+    return d.select("doc_id", tx.title(F.col("text"), F.col("site"), F.col("country")).alias("title"))
 
 
 def f13_keywords(spark: SparkSession, folder: str) -> DataFrame:
@@ -243,9 +244,12 @@ def a14_linear_head(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q18_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts of the catalogue, each table read once."""
-    s = _shots(spark, folder, "scored_at", "tagged_at", "rejected").agg(F.count(F.lit(1)).alias("shots"), F.count("scored_at").alias("scored"), F.count("tagged_at").alias("tagged"), F.count_if(F.col("rejected") == 1).alias("rejected"))
-    c = _sources(spark, folder, "size_bytes").agg(F.count(F.lit(1)).alias("sources"), F.sum("size_bytes").alias("bytes"))
+    """Counts of the catalogue, each table read once; the tables hold no rendered, scheduled or posted shots to count."""
+    s = _shots(spark, folder, "scored_at", "tagged_at", "rejected", "motion_class", "selection_state")
+    classes = [F.count_if(F.col("motion_class") == c).alias(n) for n, c in (("held", "held"), ("moving", "move"), ("repositioning", "reposition"))]
+    states = [F.count("scored_at").alias("scored"), F.count_if(F.col("rejected") == 1).alias("rejected"), F.count("tagged_at").alias("tagged"), F.count_if(F.col("selection_state") == "approved").alias("approved")]
+    s = s.agg(F.count(F.lit(1)).alias("shots"), *classes, *states)
+    c = _sources(spark, folder, "size_bytes", "scene_detected_at").agg(F.count(F.lit(1)).alias("sources"), F.count_if(F.col("scene_detected_at").isNull()).alias("sources_unsegmented"), F.sum("size_bytes").alias("bytes"))
     return s.crossJoin(c).withColumn("survival", scoring.rounded((F.col("scored") - F.col("rejected")) / F.nullif(F.col("scored"), F.lit(0)), 4))
 
 
@@ -253,13 +257,18 @@ def q01_unsegmented(spark: SparkSession, folder: str) -> DataFrame:
     return _sources(spark, folder, "relpath", "scene_detected_at").where("scene_detected_at IS NULL").select("id", "relpath").orderBy("relpath", "id")
 
 
-def q02_unscored(spark: SparkSession, folder: str) -> DataFrame:
-    return _shots(spark, folder, "scored_at").where("scored_at IS NULL").select("id").orderBy("id")
+def _first(rows: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` rows; 0 sets no limit."""
+    return rows.limit(most) if most else rows
 
 
-def q03_untagged(spark: SparkSession, folder: str) -> DataFrame:
+def q02_unscored(spark: SparkSession, folder: str, most: int = 0) -> DataFrame:
+    return _first(_shots(spark, folder, "scored_at").where("scored_at IS NULL").select("id").orderBy("id"), most)
+
+
+def q03_untagged(spark: SparkSession, folder: str, most: int = 0) -> DataFrame:
     s = _shots(spark, folder, "rejected", "scored_at", "tagged_at", "aesthetic_score").where("rejected = 0 AND scored_at IS NOT NULL AND tagged_at IS NULL")
-    return s.select("id", "aesthetic_score").orderBy(F.col("aesthetic_score").desc_nulls_last(), "id")
+    return _first(s.select("id", "aesthetic_score").orderBy(F.col("aesthetic_score").desc_nulls_last(), "id"), most)
 
 
 def o02_top(spark: SparkSession, folder: str) -> DataFrame:
@@ -415,7 +424,8 @@ SQL = {
     "f06_paths": f"""WITH c AS {_SRC} SELECT id, CASE WHEN relpath LIKE '%/%' THEN lower(replace(split_part(relpath, '/', 1), '_', ' ')) END AS folder_country, {_YEAR} AS year, {_SLUG.format(x="site", d="none")} AS site_slug,
         concat('out/', {_SLUG.format(x="country", d="unknown-country")}, '/', {_YEAR}, '/', printf('%06d', id), '_', {_SLUG.format(x=_STEM, d="source")}, CASE WHEN coalesce(site, '') = '' THEN '' ELSE concat('_', {_SLUG.format(x="site", d="site")}) END, '.mp4') AS path,
         CASE WHEN coalesce(drone_model, '') = '' THEN 'Maker' ELSE concat('Maker ', drone_model) END AS model FROM c""",
-    "f12_titles": "SELECT doc_id, coalesce(nullif(substr(regexp_replace(split_part(split_part(text, '.', 1), ',', 1), '^[\\s\\v]+|[\\s\\v]+$', '', 'g'), 1, 120), ''), 'Aerial Footage') AS title FROM documents",
+    "f12_titles": f"""WITH d AS (SELECT doc_id, text, coalesce(nullif(concat_ws(' · ', nullif(site, ''), nullif(country, '')), ''), 'Aerial footage') AS spot FROM documents LEFT JOIN shot_details AS s ON s.id = shot_id)
+        SELECT doc_id, coalesce(nullif(substr(regexp_replace(split_part(split_part(text, '.', 1), ',', 1), '^[\\s\\v]+|[\\s\\v]+$', '', 'g'), 1, 120), ''), {_CASED.format(x="spot")}) AS title FROM d""",
     "f13_keywords": f"""WITH c AS {_SHOT}, s AS {_SRC}, k AS (SELECT c.id, {_TERMS.format(place="s.site")} AS raw FROM c JOIN s ON s.id = c.source_id), t AS (SELECT id, {_WORDS} AS l FROM k)
         SELECT id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '; ') AS keywords FROM t""",
     "f20_crops": f"""WITH c AS {_SRC}, r AS (SELECT *, CAST(width AS DOUBLE) / height AS q FROM c),
@@ -455,7 +465,9 @@ SQL = {
     "q01_unsegmented": f"WITH c AS {_SRC} SELECT id, relpath FROM c WHERE scene_detected_at IS NULL",
     "q02_unscored": f"WITH c AS {_SHOT} SELECT id FROM c WHERE scored_at IS NULL",
     "q03_untagged": f"WITH c AS {_SHOT} SELECT id, aesthetic_score FROM c WHERE rejected = 0 AND scored_at IS NOT NULL AND tagged_at IS NULL",
-    "q18_stats": f"""WITH c AS {_SHOT}, s AS {_SRC}, a AS (SELECT count(*) AS shots, count(scored_at) AS scored, count(tagged_at) AS tagged, count(*) FILTER (WHERE rejected = 1) AS rejected FROM c), b AS (SELECT count(*) AS sources, CAST(sum(size_bytes) AS BIGINT) AS bytes FROM s)
+    "q18_stats": f"""WITH c AS {_SHOT}, s AS {_SRC}, a AS (SELECT count(*) AS shots, count(*) FILTER (WHERE motion_class = 'held') AS held, count(*) FILTER (WHERE motion_class = 'move') AS moving, count(*) FILTER (WHERE motion_class = 'reposition') AS repositioning, count(scored_at) AS scored,
+        count(*) FILTER (WHERE rejected = 1) AS rejected, count(tagged_at) AS tagged, count(*) FILTER (WHERE selection_state = 'approved') AS approved FROM c),
+        b AS (SELECT count(*) AS sources, count(*) FILTER (WHERE scene_detected_at IS NULL) AS sources_unsegmented, CAST(sum(size_bytes) AS BIGINT) AS bytes FROM s)
         SELECT *, floor((scored - rejected) / CAST(scored AS DOUBLE) * 1e4 + 0.5) / 1e4 AS survival FROM a CROSS JOIN b""",
     "o02_top": f"WITH c AS {_SHOT} SELECT id, technical_score FROM c WHERE technical_score BETWEEN 0 AND 1 AND NOT isnan(technical_score) ORDER BY technical_score DESC, id LIMIT 50",
     "o04_shuffled": f"WITH c AS {_SRC} SELECT id, row_number() OVER (ORDER BY md5(concat('seed:', CAST(id AS VARCHAR))), id) AS place FROM c",

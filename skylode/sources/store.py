@@ -40,15 +40,28 @@ class SnapshotStore:
         finally:
             stream.close()
 
+    def version(self, table: str) -> int | None:
+        """The version of the schema that the current snapshot was written in; None before the first snapshot."""
+        name = self.current(table)
+        return None if name is None else int(name.removeprefix("v").split("-")[0])
+
+    def migrate(self, table: str, schema: T.StructType) -> bool:
+        """Writes a table of an older version anew in ``schema`` and stamps it; nothing to do for a current one or none at all."""
+        have = self.version(table)
+        if have is None or have >= SCHEMA_VERSION:
+            return False
+        self.write(table, conform(self.read(table), schema))
+        return True
+
     def read(self, table: str) -> DataFrame:
         name = self.current(table)
         if name is None:
             raise FileNotFoundError(f"{table} has no snapshot in {self.folder}")
         return self.spark.read.parquet(f"{self.folder}/{table}/{name}")
 
-    def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Writes a snapshot and makes it the current one; a failed write changes nothing."""
-        name = f"v-{uuid.uuid4().hex}"
+    def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), version: int = SCHEMA_VERSION) -> str:
+        """Writes a snapshot in a version of the schema and makes it the current one; a failed write changes nothing."""
+        name = f"v{version}-{uuid.uuid4().hex}"
         w = df.write.option("compression", "zstd")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.folder}/{table}/{name}")
         fresh = self._path(f"{self.folder}/{table}/.CURRENT-{name}")
