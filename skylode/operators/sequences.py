@@ -193,18 +193,32 @@ def speed_profile(buckets: DataFrame, scene: str) -> DataFrame:
     return buckets.groupBy(scene).agg(F.transform(pairs, lambda p: p["speed"]).alias("profile"))
 
 
+def _turn(s: Column, v: Column, m: Motion) -> Column:
+    """State (count, way, anchor) of a speed curve after one more value."""
+    change = (v - s["anchor"]) / F.greatest(s["anchor"], F.lit(m.held_rate))
+    way = F.when(change > 0, 1).otherwise(-1)
+    turned = F.struct((s["count"] + ((s["way"] != 0) & (s["way"] != way)).cast("int")).alias("count"), way.alias("way"), v.alias("anchor"))
+    rest = F.struct(s["count"].alias("count"), s["way"].alias("way"), v.alias("anchor"))
+    kept = F.struct(s["count"].alias("count"), s["way"].alias("way"), s["anchor"].alias("anchor"))
+    return F.when(s["anchor"].isNull() | (F.greatest(s["anchor"], v) < m.held_rate), rest).when(F.abs(change) < m.min_change, kept).otherwise(turned)
+
+
 def reversals(speeds: Column, m: Motion = Motion()) -> Column:
     """How often a speed curve turns round; changes below a share, and near-standstill, don't count."""
     zero = F.struct(F.lit(0).alias("count"), F.lit(0).alias("way"), F.lit(None).cast("double").alias("anchor"))
+    return F.aggregate(speeds, zero, lambda s, v: _turn(s, v, m), lambda s: s["count"])
+
+
+def one_way(speeds: Column, m: Motion = Motion()) -> Column:
+    """How many speeds from the first on come before the curve turns round; all if it never does."""
+    kind = "struct<n: int, count: int, way: int, anchor: double>"
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("count"), F.lit(0).alias("way"), F.lit(None).cast("double").alias("anchor")).cast(kind)
 
     def step(s: Column, v: Column) -> Column:
-        change = (v - s["anchor"]) / F.greatest(s["anchor"], F.lit(m.held_rate))
-        way = F.when(change > 0, 1).otherwise(-1)
-        turned = F.struct((s["count"] + ((s["way"] != 0) & (s["way"] != way)).cast("int")).alias("count"), way.alias("way"), v.alias("anchor"))
-        rest = F.struct(s["count"].alias("count"), s["way"].alias("way"), v.alias("anchor"))
-        return F.when(s["anchor"].isNull() | (F.greatest(s["anchor"], v) < m.held_rate), rest).when(F.abs(change) < m.min_change, s).otherwise(turned)
+        after = lambda t: F.struct((s["n"] + (t["count"] == 0).cast("int")).alias("n"), t["count"], t["way"], t["anchor"]).cast(kind)
+        return F.when(s["count"] > 0, s).otherwise(let(_turn(s, v, m), after)).cast(kind)
 
-    return F.aggregate(speeds, zero, step, lambda s: s["count"])
+    return F.aggregate(speeds, zero, step, lambda s: s["n"])
 
 
 def eases_in(speeds: Column, m: Motion = Motion()) -> Column:
@@ -223,22 +237,24 @@ def find_windows(profile: Column, start: Column, min_seconds: float, max_seconds
 
     A stretch has no reversal and a spread within limits. Only if there is none, one that eases in may have
     any spread. A stretch that overlaps none taken lies inside one free gap, and its merit doesn't depend
-    on the gaps, so taking all candidates in order of merit is the same as searching the gaps anew.
+    on the gaps, so taking all candidates in order of merit is the same as searching the gaps anew. A stretch that has a
+    reversal has one however much longer it gets, so each start is followed once, until its first.
     """
     n = F.size(profile)
     shortest = max(1, round(min_seconds / m.bucket))
     longest = F.least(n, F.greatest(F.lit(shortest), F.rint(max_seconds / m.bucket).cast("int")))
 
-    def of_length(k: Column) -> Column:
-        def at(o: Column) -> Column:
+    def at(o: Column) -> Column:
+        def of_length(k: Column) -> Column:
             part = F.slice(profile, o + 1, k)
-            return F.struct((-k).alias("less"), spread(part, m.held_rate).alias("spread"), o.alias("at"), reversals(part, m).alias("turns"), eases_in(part, m).alias("eases"))
+            return F.struct((-k).alias("less"), spread(part, m.held_rate).alias("spread"), o.alias("at"), eases_in(part, m).alias("eases"))
 
-        return F.transform(F.sequence(F.lit(0), n - k), at)
+        reach = one_way(F.slice(profile, o + 1, F.least(longest, n - o)), m)
+        return let(reach, lambda r: F.when(r >= shortest, F.transform(F.sequence(F.lit(shortest), r), of_length)).otherwise(F.array().cast(kind)))
 
-    every = F.when(longest >= shortest, F.flatten(F.transform(F.sequence(F.lit(shortest), longest), of_length)))
-    kind = "array<struct<less: int, spread: double, at: int, turns: int, eases: boolean>>"
-    clean = F.filter(F.coalesce(every, F.array().cast(kind)), lambda c: c["turns"] == 0)
+    kind = "array<struct<less: int, spread: double, at: int, eases: boolean>>"
+    every = F.when(longest >= shortest, F.flatten(F.transform(F.sequence(F.lit(0), n - shortest), at)))
+    clean = F.coalesce(every, F.array().cast(kind))
 
     def take(acc: Column, c: Column) -> Column:
         clash = F.exists(acc, lambda t: (c["at"] < t["at"] - t["less"]) & (t["at"] < c["at"] - c["less"]))
@@ -290,28 +306,44 @@ def carve_windows(start: Column, end: Column, cls: Column, profile: Column, min_
     return F.when(carving, carved).otherwise(whole)
 
 
+def samples_in_runs(samples: DataFrame, runs: DataFrame, scene: str, order: str) -> DataFrame:
+    """(scene, run, order, far): each sample (start, end, dx, dy) with the runs (run, start, end) that hold its midpoint, ends included.
+
+    Runs of a scene may share ends but not overlap, so a midpoint lies in one, or on the border of two. Both are sorted into
+    one line of times for each scene, in which a sample follows the run that holds it: no sample is compared with runs elsewhere.
+    """
+    before = Window.partitionBy(scene).orderBy("start", "end")
+    last = [F.lag(c).over(before).alias(f"last_{c}") for c in ("run", "end")]
+    events = runs.select(scene, "run", "start", "end").select(F.col(scene), F.col("start").alias("t"), F.lit(0).alias("kind"), F.struct("run", "end", *last).alias("r"), F.lit(None).cast(samples.schema[order].dataType).alias(order), F.lit(None).cast("double").alias("far"))
+    mids = samples.select(F.col(scene), ((F.col("start") + F.col("end")) / 2).alias("t"), F.lit(1).alias("kind"), F.lit(None).cast(events.schema["r"].dataType).alias("r"), F.col(order), F.hypot("dx", "dy").alias("far"))
+    line = Window.partitionBy(scene).orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    held = events.unionByName(mids).withColumn("at", F.last("r", ignorenulls=True).over(line)).where("kind = 1")
+    both = F.array(F.when(F.col("t") <= F.col("at.last_end"), F.col("at.last_run")), F.when(F.col("t") <= F.col("at.end"), F.col("at.run")))
+    return held.select(scene, F.explode(F.array_compact(both)).alias("run"), order, "far")
+
+
 def split_by_motion(scenes: DataFrame, samples: DataFrame, scene: str, order: str, width: float, fps: float, m: Motion = Motion(), min_render: float = 0.0, max_render: float = 0.0) -> DataFrame:
     """(scene, piece, start, end, cls, profile, is_window): scenes (scene, start, end) split into pieces that cover them.
 
     A scene without samples stays one moving piece. A sample whose midpoint lies on the border of two runs
-    counts in both.
+    counts in both. Samples meet their runs in one sorted line of times, and a run's speeds are averaged as rows, so only its
+    seconds are ever an array.
     """
     runs = segment(samples, scene, order, width, fps, m)
     per = max(1, round(fps * m.bucket))
-    # the scene's samples as an array: the range join with its runs needs no second shuffle
-    series = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), ((F.col("start") + F.col("end")) / 2).alias("mid"), F.hypot("dx", "dy").alias("far"))))
-    held = scenes.select(scene, F.col("start").alias("s0"), F.col("end").alias("s1")).join(runs, scene, "left").join(samples.groupBy(scene).agg(series.alias("series")), scene, "left")
+    held = scenes.select(scene, F.col("start").alias("s0"), F.col("end").alias("s1")).join(runs, scene, "left")
 
     def stretched(r: Column, i: Column) -> Column:
         return _run(F.when(i == 0, F.col("s0")).otherwise(r["start"]), F.when(i == F.size("runs") - 1, F.col("s1")).otherwise(r["end"]), r["cls"])
 
-    one = held.select(scene, "s0", "s1", "series", F.when(F.coalesce(F.size("runs"), F.lit(0)) > 0, F.transform("runs", stretched)).cast(RUN).alias("runs"))
-    one = one.select(scene, "s0", "s1", "series", F.posexplode_outer("runs").alias("run", "r"))
-    inside = F.filter("series", lambda s: (s["mid"] >= F.col("r.start")) & (s["mid"] <= F.col("r.end")))
-    one = one.withColumn("inside", F.coalesce(inside, F.array().cast("array<struct<o: bigint, mid: double, far: double>>")))
-    k = F.floor(F.size("inside") / per).cast("int")
-    mean = F.transform(F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>")), lambda b: F.aggregate(F.slice("inside", b * per + 1, F.lit(per)), F.lit(0.0), lambda s, x: s + x["far"]) / per * (fps / width))
-    one = one.withColumn("profile", F.when(F.col("r").isNull(), F.array().cast("array<double>")).otherwise(mean))
+    one = held.select(scene, "s0", "s1", F.when(F.coalesce(F.size("runs"), F.lit(0)) > 0, F.transform("runs", stretched)).cast(RUN).alias("runs"))
+    one = one.select(scene, "s0", "s1", F.posexplode_outer("runs").alias("run", "r"))
+    inside = samples_in_runs(samples, one.where("r IS NOT NULL").select(scene, "run", "r.start", "r.end"), scene, order)
+    place = F.row_number().over(Window.partitionBy(scene, "run").orderBy(order)) - 1
+    seconds = inside.select(scene, "run", "far", F.floor(place / per).alias("second")).groupBy(scene, "run", "second").agg((F.avg("far") * (fps / width)).alias("speed"), F.count(F.lit(1)).alias("n")).where(F.col("n") == per)
+    speeds = F.transform(F.array_sort(F.collect_list(F.struct("second", "speed"))), lambda p: p["speed"])
+    one = one.join(seconds.groupBy(scene, "run").agg(speeds.alias("profile")), [scene, "run"], "left")
+    one = one.withColumn("profile", F.coalesce("profile", F.array().cast("array<double>")))
     start, end, cls = F.coalesce("r.start", "s0"), F.coalesce("r.end", "s1"), F.coalesce("r.cls", F.lit("move"))
     kept = F.array(F.struct(start.alias("start"), end.alias("end"), cls.alias("cls"), F.col("profile").alias("profile"), F.lit(True).alias("is_window"))).cast(PIECE)
     pieces = F.when(F.col("r").isNull() | (cls == "reposition"), kept).otherwise(carve_windows(start, end, cls, F.col("profile"), min_render, max_render, m))

@@ -138,10 +138,8 @@ def w16_split_untiled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def j05_samples_in_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Samples whose midpoint lies in a run, ends included: an equi-join by scene with a range condition."""
-    s = samples(spark, folder).select("scene", "ord", ((F.col("start") + F.col("end")) / 2).alias("mid"))
-    r = _runs(spark, folder).select(F.col("scene").alias("rs"), "run", F.col("start").alias("a"), F.col("end").alias("b"))
-    inside = s.join(r, (F.col("scene") == F.col("rs")) & (F.col("mid") >= F.col("a")) & (F.col("mid") <= F.col("b")))
+    """How many samples have their midpoint in each run, ends included."""
+    inside = seq.samples_in_runs(samples(spark, folder), _runs(spark, folder), "scene", "ord")
     return inside.groupBy("scene", F.col("run").cast("bigint").alias("run")).agg(F.count(F.lit(1)).alias("n"))
 
 

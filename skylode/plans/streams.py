@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skylode.session import ensure_checkpoint_dir
+from skylode.session import cut, ensure_checkpoint_dir
 from skylode.streaming import streams
 
 
@@ -18,20 +19,46 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return streams.file_stream(spark, f"{path}*", schema).withColumn("at", F.timestamp_seconds(F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01', ts)")))
 
 
+def _worked_off(spark: SparkSession, df: DataFrame, *keys: str) -> DataFrame:
+    """Result of a stream in update mode: a batch writes only the rows that it changed, and of each key the last batch's row counts.
+
+    The stream's folder lies where the executors share one, and goes once its result is cut from it.
+    """
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        # a batch that runs again after a failure replaces what it wrote
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+    df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    values = [c for c in df.columns if c not in keys]
+    got = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{base}/out")
+    last = got.groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("r")).select(*keys, *[f"r.{c}" for c in values])
+    return _kept(spark, last, base)
+
+
+def _kept(spark: SparkSession, df: DataFrame, base: str) -> DataFrame:
+    """``df`` cut from the folder it reads, which is then removed."""
+    out = cut(df)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return out
+
+
 def _complete(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Result of a stream in complete mode, from a folder that the executors share."""
+    """Result of a stream in complete mode: for sessions, which Spark doesn't update and which end only when later events come."""
     base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out")
 
     df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return _kept(spark, spark.read.parquet(f"{base}/out"), base)
 
 
 def t03_hourly(spark: SparkSession, folder: str) -> DataFrame:
     """Mean value of each user and hour."""
-    got = _complete(spark, streams.tumbling_speeds(_events(spark, folder), "at", "user_id", "value", "1 hour", "2 days"))
+    got = _worked_off(spark, streams.tumbling_speeds(_events(spark, folder), "at", "user_id", "value", "1 hour", "2 days"), "user_id", "from_time")
     return got.select("user_id", F.unix_seconds("from_time").alias("from_s"), "n", (F.floor(F.col("speed") * 1e6 + 0.5) / 1e6).alias("speed"))
 
 
@@ -44,7 +71,7 @@ def t04_sessions(spark: SparkSession, folder: str) -> DataFrame:
 def t06_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Each user's latest event."""
     e = _events(spark, folder).withColumn("order", F.struct("ts", "event_id"))
-    return _complete(spark, streams.latest(e, "user_id", "order", "event_type")).select("user_id", "event_type")
+    return _worked_off(spark, streams.latest(e, "user_id", "order", "event_type"), "user_id").select("user_id", "event_type")
 
 
 QUERIES = {f.__name__: f for f in (t03_hourly, t04_sessions, t06_latest)}

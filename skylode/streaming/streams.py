@@ -1,7 +1,8 @@
 """Streams: incremental queues, deduplicated ingest, tumbling speeds, sessions, latest states.
 
 Every function takes a streaming DataFrame and gives one; the same code runs on a batch. Sources are files
-(``trigger(availableNow=True)`` works off what is there and ends), state is bounded by watermarks.
+(``trigger(availableNow=True)`` works off what is there and ends). State is bounded by watermarks where time closes a row: rows
+later than that are dropped, in append and update mode. :func:`latest` keeps one row for each key for ever.
 """
 
 from __future__ import annotations

@@ -178,3 +178,28 @@ def test_cut_list_and_times(spark):
     t = spark.createDataFrame([(0.0, 4.0), (1.0, 1.0), (0.0, 0.5)], "a double, b double").select(seq.sample_times(F.col("a"), F.col("b"), 1.0).alias("t"), seq.dense_times(F.col("a"), F.col("b"), 2.0, 3).alias("u")).collect()
     assert [r.t for r in t] == [[0.5, 1.5, 2.5, 3.5], [], [0.25]]
     assert [r.u for r in t] == [[0.0, 0.5, 1.0], [], [0.0]]
+
+
+def test_one_way(spark):
+    rng = random.Random(11)
+    rows = [([rng.choice([0.0, 0.005, 0.1, 0.2, 0.5, 1.0]) * rng.uniform(0.9, 1.1) for _ in range(rng.randint(0, 15))],) for _ in range(300)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v array<double>").select(seq.one_way(F.col("v"))).collect()]
+    assert got == [max(k for k in range(len(v) + 1) if turns(v[:k]) == 0) for (v,) in rows]
+
+
+def test_samples_in_runs(spark):
+    """Abutting runs with gaps here and there: midpoints inside, on borders, before, between and behind them."""
+    rng = random.Random(12)
+    runs, samples = [], []
+    for scene in range(20):
+        t = 0.0
+        for run in range(rng.randint(0, 6)):
+            t += rng.choice([0.0, 0.0, 0.5])
+            runs.append((scene, run, t, t + rng.choice([0.25, 0.5, 1.0])))
+            t = runs[-1][3]
+        samples += [(scene, i, i * 0.25 - 0.5, i * 0.25 - 0.25 if i % 2 else i * 0.25 - 0.5, 3.0, 4.0) for i in range(30)]
+    r = spark.createDataFrame(runs, "scene int, run int, start double, end double")
+    s = spark.createDataFrame(samples, "scene int, ord long, start double, end double, dx double, dy double")
+    got = sorted((x.scene, x.run, x.ord, x.far) for x in seq.samples_in_runs(s, r, "scene", "ord").collect())
+    assert got == sorted((c, run, o, 5.0) for c, o, a, b, _, _ in samples for c2, run, lo, hi in runs if c == c2 and lo <= (a + b) / 2 <= hi)
+    assert seq.samples_in_runs(s, r.limit(0), "scene", "ord").collect() == [] and seq.samples_in_runs(s.limit(0), r, "scene", "ord").collect() == []
