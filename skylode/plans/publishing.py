@@ -251,7 +251,7 @@ SQL = {
     "f38_known_facts": f"""WITH c AS {_SRC} SELECT id, concat_ws(chr(10), 'country: ' || nullif(country, ''), 'site noted in the archive: ' || nullif(site, ''), 'captured: ' || nullif(captured_at, ''), CASE WHEN gps_lat IS NOT NULL AND gps_lon IS NOT NULL THEN printf('GPS: %.4f, %.4f', floor(gps_lat), floor(gps_lon)) END, printf('shot length: %.1fs', coalesce(floor(duration), 0e0))) AS facts FROM c""",
     "p09_reasons": f"WITH c AS {_SHOT} SELECT id, CASE WHEN motion_class = 'reposition' THEN '{SEARCHING}' ELSE 'outside a steady 3s window' END AS reason FROM c WHERE motion_class = 'reposition' OR is_window = 0",
     "a11_purge_totals": f"WITH {_OPEN} SELECT count(*) AS files, CAST(coalesce(sum(size_bytes), 0) AS BIGINT) AS bytes FROM g",
-    "a12_run_counts": "WITH w AS ({split}) SELECT cls, is_window, count(*) AS pieces, floor(sum(piece_end - piece_start) * 1e3 + 0.5) / 1e3 AS seconds FROM w GROUP BY cls, is_window".replace("{split}", scenes.SQL["w15_split"]),
+    "a12_run_counts": f"{scenes.SPLIT_SQL} SELECT {scenes.CLASS_SQL}, is_window, pieces, seconds FROM (SELECT code, is_window, count(*) AS pieces, floor(sum(b - a) * 1e3 + 0.5) / 1e3 AS seconds FROM al GROUP BY code, is_window) AS g",
     "a16_segment_counts": f"""WITH c AS {_SHOT}, s AS {_SRC}, g AS (SELECT source_id, count(*) AS n, count(*) FILTER (WHERE motion_class = 'reposition') AS r FROM c GROUP BY source_id)
         SELECT count(*) AS sources, CAST(sum(n) AS BIGINT) AS shots, CAST(sum(r) AS BIGINT) AS reposition, CAST(sum(n - r) AS BIGINT) AS usable, count(*) FILTER (WHERE n = 1) AS continuous, (SELECT count(*) FROM s WHERE coalesce(duration, 0) = 0) AS without_length FROM g""",
     "q12_exports": f"WITH c AS {_SHOT}, s AS {_SRC} SELECT c.id, s.country, s.captured_at FROM c JOIN s ON s.id = c.source_id WHERE rejected = 0 AND tagged_at IS NOT NULL AND license_tier = 'exclusive'",

@@ -300,13 +300,16 @@ def _carved_sql(profiles: str, spans: str) -> str:
 SQL["w13_windows"] = f"WITH RECURSIVE {_BUCKETS}, b2 AS (SELECT scene AS g, second, speed FROM b), {_windows_sql('b2')} SELECT g AS scene, CAST(o AS DOUBLE) AS win_start, CAST(e AS DOUBLE) AS win_end, floor(s * 1e3 + 0.5) / 1e3 AS spread FROM wz"
 SQL["w14_carved"] = f"""WITH RECURSIVE {_BUCKETS}, b2 AS (SELECT scene AS g, second, speed FROM b), sp AS (SELECT g, 0e0 AS a, count(*) + 4e-1 AS b FROM b2 GROUP BY g), {_carved_sql('b2', 'sp')}
     SELECT g AS scene, CAST(piece AS INTEGER) AS piece, a AS piece_start, b AS piece_end, seconds, is_window FROM cp"""
-SQL["w15_split"] = f"""WITH RECURSIVE {_RUNS}, {_absorbed_sql('r','u')}, {_joined_sql('u','y')},
+SPLIT_SQL = f"""WITH RECURSIVE {_RUNS}, {_absorbed_sql('r','u')}, {_joined_sql('u','y')},
     sc AS (SELECT scene, min(start_s) - 1e-1 AS s0, max(end_s) + 1e-1 AS s1 FROM s GROUP BY scene),
     rr AS (SELECT y.scene, y.run, y.cls, CASE WHEN y.run = 0 THEN s0 ELSE run_start END AS a, CASE WHEN y.run = max(y.run) OVER (PARTITION BY y.scene) THEN s1 ELSE run_end END AS b FROM y JOIN sc ON sc.scene = y.scene),
     ri AS (SELECT rr.scene, rr.run, s.dx, row_number() OVER (PARTITION BY rr.scene, rr.run ORDER BY s.ord) - 1 AS i FROM rr JOIN s ON s.scene = rr.scene AND (s.start_s + s.end_s) / 2 BETWEEN rr.a AND rr.b),
     rb AS (SELECT scene, run, i // 4 AS second, avg(abs(dx)) * (4e0 / 512e0) AS speed FROM ri GROUP BY ALL HAVING count(*) = 4),
-    b2 AS (SELECT scene * 100000 + run AS g, second, speed FROM rb JOIN rr USING (scene, run) WHERE cls <> 'reposition'),
-    sp AS (SELECT scene * 100000 + run AS g, a, b FROM rr WHERE cls <> 'reposition'), {_carved_sql('b2', 'sp')},
-    al AS (SELECT g // 100000 AS scene, g % 100000 AS run, piece, a, b, seconds, is_window FROM cp
-        UNION ALL SELECT rr.scene, rr.run, 0, rr.a, rr.b, (SELECT count(*) FROM rb WHERE rb.scene = rr.scene AND rb.run = rr.run), 1 FROM rr WHERE cls = 'reposition')
-    SELECT al.scene, CAST(row_number() OVER (PARTITION BY al.scene ORDER BY al.a, al.run, al.piece) - 1 AS INTEGER) AS piece, rr.cls, al.a AS piece_start, al.b AS piece_end, al.seconds, al.is_window FROM al JOIN rr ON rr.scene = al.scene AND rr.run = al.run"""
+    b2 AS (SELECT (scene * 100000 + run) * 2 + CASE WHEN cls = 'held' THEN 0 ELSE 1 END AS g, second, speed FROM rb JOIN rr USING (scene, run) WHERE cls <> 'reposition'),
+    sp AS (SELECT (scene * 100000 + run) * 2 + CASE WHEN cls = 'held' THEN 0 ELSE 1 END AS g, a, b FROM rr WHERE cls <> 'reposition'), {_carved_sql('b2', 'sp')},
+    rk AS (SELECT scene, run, count(*) AS k FROM rb GROUP BY scene, run),
+    al AS (SELECT g // 200000 AS scene, g // 2 % 100000 AS run, g % 2 AS code, piece, a, b, seconds, is_window FROM cp
+        UNION ALL SELECT rr.scene, rr.run, 2, 0, rr.a, rr.b, coalesce(rk.k, 0), 1 FROM rr LEFT JOIN rk ON rk.scene = rr.scene AND rk.run = rr.run WHERE cls = 'reposition')"""
+CLASS_SQL = "CASE code WHEN 0 THEN 'held' WHEN 1 THEN 'move' ELSE 'reposition' END AS cls"
+SQL["w15_split"] = f"""{SPLIT_SQL}
+    SELECT scene, CAST(row_number() OVER (PARTITION BY scene ORDER BY a, run, piece) - 1 AS INTEGER) AS piece, {CLASS_SQL}, a AS piece_start, b AS piece_end, seconds, is_window FROM al"""
