@@ -80,13 +80,15 @@ def failed_delivery(states: Column) -> Column:
     return F.exists(F.map_values(states), lambda s: s.startswith("failed") | s.startswith("error"))
 
 
-def published(response: Column) -> dict[str, Column]:
-    """What is kept of an answer to a post: its id (NULL: nothing was published), accounts and states by platform."""
-    post = F.from_json(response, POST)["post"]
-    rows = F.filter(F.array_compact(post["platforms"]), lambda r: present(r["platform"]).isNotNull())
-    there = present(post["_id"]).isNotNull()
-    accounts = last_wins(F.transform(rows, lambda r: r["platform"]), F.transform(rows, lambda r: F.coalesce(r["accountId"], F.lit(""))))
-    return {"post_id": present(post["_id"]), "accounts": F.when(there, accounts), "states": F.when(there, delivery(post["platforms"]))}
+def published(response: Column) -> Column:
+    """(post_id, accounts, states): what is kept of an answer to a post, by platform; all NULL if nothing was published."""
+    def kept(post: Column) -> Column:
+        rows = F.filter(F.array_compact(post["platforms"]), lambda r: present(r["platform"]).isNotNull())
+        accounts = let(rows, lambda a: last_wins(F.transform(a, lambda r: r["platform"]), F.transform(a, lambda r: F.coalesce(r["accountId"], F.lit("")))))
+        there = present(post["_id"]).isNotNull()
+        return F.struct(present(post["_id"]).alias("post_id"), F.when(there, accounts).alias("accounts"), F.when(there, delivery(post["platforms"])).alias("states"))
+
+    return let(F.from_json(response, POST)["post"], kept)
 
 
 def account_rows(answer: Column) -> Column:

@@ -164,9 +164,15 @@ def crop_size(width: Column, height: Column) -> tuple[Column, Column]:
 
 def last_wins(keys: Column, values: Column) -> Column:
     """A map from two arrays in which the last of repeated keys counts."""
-    n = F.size(keys)
-    later = F.filter(F.transform(keys, lambda k, i: F.struct(k.alias("k"), F.get(values, i).alias("v"), i.alias("i"))), lambda e: (e["i"] == n - 1) | ~F.array_contains(F.slice(keys, e["i"] + 2, n), e["k"]))
-    return F.map_from_entries(F.transform(later, lambda e: F.struct(e["k"], e["v"])))
+    def of(kv: Column) -> Column:
+        k, v = kv["k"], kv["v"]
+        # the place of each key's last occurrence, counted from the end
+        last = lambda x, i: F.array_position(F.reverse(F.slice(k, i + 1, F.size(k))), x) == F.size(k) - i
+        entries = F.transform(k, lambda x, i: F.struct(x.alias("k"), F.get(v, i).alias("v"), last(x, i).alias("last")))
+        return F.map_from_entries(F.transform(F.filter(entries, lambda e: e["last"]), lambda e: F.struct(e["k"], e["v"])))
+
+    # bound once, as a lambda that named the arrays themselves would work them out for each element
+    return let(F.struct(keys.alias("k"), values.alias("v")), of)
 
 
 def number_text(x: Column) -> Column:

@@ -122,8 +122,7 @@ def f33_deliveries(spark: SparkSession, folder: str) -> DataFrame:
 
 def f34_published(spark: SparkSession, folder: str) -> DataFrame:
     """What is kept of answers to posts; dry runs give no id."""
-    p = responses.published(F.col("answer"))
-    got = read_table(spark, folder, "events", "event_id", "event_type").select("event_id", F.to_json(F.struct(_answer().alias("post"))).alias("answer")).select("event_id", p["post_id"].alias("post_id"), p["accounts"].alias("a"), p["states"].alias("s"))
+    got = read_table(spark, folder, "events", "event_id", "event_type").select("event_id", F.to_json(F.struct(_answer().alias("post"))).alias("answer")).select("event_id", responses.published(F.col("answer")).alias("p")).select("event_id", "p.post_id", F.col("p.accounts").alias("a"), F.col("p.states").alias("s"))
     as_text = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda x: F.concat_ws("=", x["key"], x["value"])), ";")
     return got.select("event_id", "post_id", as_text("a").alias("accounts"), as_text("s").alias("states"), responses.failed_delivery(F.col("s")).cast("int").alias("failed"))
 

@@ -73,8 +73,7 @@ def test_answers(spark):
     rows = [('{"accounts":[{"platform":"a","_id":"1"},{"platform":"","_id":"2"},{"platform":"c"}]}',), ('[{"platform":"b","_id":"9"}]',), ("no",), (None,)]
     got = values(spark, responses.account_rows(F.col("x")), rows, "x string")
     assert [None if g is None else [tuple(r) for r in g] for g in got] == [[("a", "1")], [("b", "9")], None, None]
-    p = responses.published(F.col("x"))
-    r = spark.createDataFrame([('{"post":{"_id":"7","platforms":[{"platform":"a","accountId":"1","status":"OK"}]}}',), ("{}",)], "x string").select(*[c.alias(n) for n, c in p.items()]).collect()
+    r = spark.createDataFrame([('{"post":{"_id":"7","platforms":[{"platform":"a","accountId":"1","status":"OK"}]}}',), ("{}",)], "x string").select(responses.published(F.col("x")).alias("p")).select("p.*").collect()
     assert tuple(r[0]) == ("7", {"a": "1"}, {"a": "ok"}) and tuple(r[1]) == (None, None, None)
 
 
