@@ -23,6 +23,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,7 @@ def _parts(text: str) -> Iterator[tuple[bool, list[str]]]:
         yield i % 2 == 1, words(part)
 
 
+@lru_cache(maxsize=1 << 16)
 def plain_word(word: str) -> str:
     """A word without disguises that need no lexicon."""
     if not word.isascii():
@@ -183,7 +185,7 @@ def words_of(text: str) -> list[str]:
     out = []
     for fused, part in _parts(text):
         if not fused:
-            out += [w for raw in part if not _CJK.search(raw) and (w := plain_word(raw)) and "*" not in w]
+            out += [w for raw in part if (raw.isascii() or not _CJK.search(raw)) and (w := plain_word(raw)) and "*" not in w]
     return out
 
 
