@@ -349,7 +349,7 @@ def _passage_sets(tokens: Sequence[Sequence[int]], shape: Shape, chunk: int = 51
     return np.concatenate(texts), np.concatenate(which), np.concatenate(at), np.array(sizes, np.int64)
 
 
-def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(), *, mistakes: float = 0.08, warm: int = 3, rounds: int = 10, batch: int = 64, most_weight: int = 1000, seed: int = 11, threshold: float = 0.38, **rates: float) -> Model:
+def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(), *, mistakes: float = 0.08, warm: int = 3, rounds: int = 10, batch: int = 128, most_weight: int = 1000, seed: int = 11, threshold: float = 0.38, **rates: float) -> Model:
     """A model of labelled texts.
 
     ``votes`` is a text's number of votes for abusive less those against it; each is a mistake with the chance
