@@ -9,7 +9,7 @@ from skylode.functions import render, responses, scoring
 from skylode.functions import text as tx
 from skylode.operators import sequences as seq
 from skylode.plans import sequences as scenes
-from skylode.plans.shaping import _CASED, _LIST, _SHOT, _SRC, _shots, _sources
+from skylode.plans.shaping import _CASED, _LIST, _SHOT, _SRC, _shots, _sources, _with_source
 from skylode.sources.tables import read_table
 
 HEADLINE = "It's 100% real: above"
@@ -151,8 +151,7 @@ def a16_segment_counts(spark: SparkSession, folder: str) -> DataFrame:
 def q12_exports(spark: SparkSession, folder: str) -> DataFrame:
     """Kept and tagged shots of one tier in order of country and time; the tables say nothing of rendered files."""
     s = _shots(spark, folder, "source_id", "rejected", "tagged_at", "license_tier").where("rejected = 0 AND tagged_at IS NOT NULL AND license_tier = 'exclusive'")
-    c = _sources(spark, folder, "country", "captured_at").withColumnRenamed("id", "sid")
-    return s.join(c, F.col("source_id") == F.col("sid")).select("id", "country", "captured_at").orderBy("country", "captured_at", "id")
+    return _with_source(spark, folder, s, "country", "captured_at").select("id", "country", "captured_at").orderBy("country", "captured_at", "id")
 
 
 def _purgeable(spark: SparkSession, folder: str) -> DataFrame:

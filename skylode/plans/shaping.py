@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from skylode.functions import scoring
 from skylode.functions import text as tx
 from skylode.operators import sequences as seq
+from skylode.operators.joins import join_to_one
 from skylode.operators.order import positions
 from skylode.operators.versions import current_rows
 from skylode.sources import files, store
@@ -28,6 +29,12 @@ def _shots(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return current_rows(read_table(spark, folder, "shots"), "id", "loaded_at", *columns)
 
 
+def _with_source(spark: SparkSession, folder: str, shots: DataFrame, *columns: str) -> DataFrame:
+    """``shots`` (with source_id) joined to ``columns`` of their sources, whose id is sid; one source may hold most shots."""
+    s = _sources(spark, folder, *columns).withColumnRenamed("id", "sid")
+    return join_to_one(shots, s, "source_id", "sid", sizes=read_table(spark, folder, "shots", "source_id"))
+
+
 def _within(name: str, low: float, high: float):
     return F.when(F.col(name).between(low, high), F.col(name))
 
@@ -68,16 +75,16 @@ def f06_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def f12_titles(spark: SparkSession, folder: str) -> DataFrame:
     """A title for each document: its first clause, else the place of its shot."""
-    d = read_table(spark, folder, "documents", "doc_id", "text", "shot_id").join(read_table(spark, folder, "shot_details", "id", "country", "site"), F.col("shot_id") == F.col("id"), "left")
+    d = join_to_one(read_table(spark, folder, "documents", "doc_id", "text", "shot_id"), read_table(spark, folder, "shot_details", "id", "country", "site"), "shot_id", "id", how="left", sizes=read_table(spark, folder, "documents", "shot_id"))
     return d.select("doc_id", tx.title(F.col("text"), F.col("site"), F.col("country")).alias("title"))
 
 
 def f13_keywords(spark: SparkSession, folder: str) -> DataFrame:
     """Keywords of each shot, with the tags of JSON and of comma-separated lists."""
     shots = _shots(spark, folder, "source_id", "subject_tags", "mood_tags")
-    s = _sources(spark, folder, "country", "site", "drone_model", "width").withColumnRenamed("id", "sid")
+    j = _with_source(spark, folder, shots, "country", "site", "drone_model", "width")
     words = tx.keywords(*[tx.tag_elements(F.col(c)) for c in ("subject_tags", "mood_tags")], F.col("country"), F.col("site"), F.col("drone_model"), F.col("width"))
-    return shots.join(s, F.col("source_id") == F.col("sid")).select("id", F.array_join(words, "; ").alias("keywords"))
+    return j.select("id", F.array_join(words, "; ").alias("keywords"))
 
 
 def f20_crops(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,8 +137,8 @@ def s03_probe(spark: SparkSession, folder: str) -> DataFrame:
 def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """Shots joined to their sources, with all columns that exports need."""
     shots = _shots(spark, folder, "source_id", "in_point", "out_point", "license_tier", "person_in_frame", "inferred_site", "subject_tags", "mood_tags", "technical_score", "aesthetic_score")
-    s = _sources(spark, folder, "relpath", "country", "site", "captured_at", "width", "drone_model", "height", "fps", "aspect", "gps_lat", "gps_lon").withColumnRenamed("id", "sid")
-    return shots.join(s, F.col("source_id") == F.col("sid")).withColumn("place", F.coalesce("inferred_site", "site"))
+    j = _with_source(spark, folder, shots, "relpath", "country", "site", "captured_at", "width", "drone_model", "height", "fps", "aspect", "gps_lat", "gps_lon")
+    return j.withColumn("place", F.coalesce("inferred_site", "site"))
 
 
 def _duration():
@@ -298,8 +305,7 @@ def w20_sample_times(spark: SparkSession, folder: str) -> DataFrame:
 def j01_shot_details(spark: SparkSession, folder: str) -> DataFrame:
     """Shots joined to their sources, the inferred site before the folder's."""
     shots = _shots(spark, folder, "source_id", "inferred_site")
-    s = _sources(spark, folder, "relpath", "country", "site", "aspect").withColumnRenamed("id", "sid")
-    return shots.join(s, F.col("source_id") == F.col("sid")).select("id", "source_id", F.col("relpath").alias("source_relpath"), "country", F.coalesce("inferred_site", "site").alias("site"), F.col("aspect").alias("source_aspect"))
+    return _with_source(spark, folder, shots, "relpath", "country", "site", "aspect").select("id", "source_id", F.col("relpath").alias("source_relpath"), "country", F.coalesce("inferred_site", "site").alias("site"), F.col("aspect").alias("source_aspect"))
 
 
 def j02_without_shots(spark: SparkSession, folder: str) -> DataFrame:
