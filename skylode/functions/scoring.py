@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Reference weights of the combined score, and the scales of its components.
+#: Weights of the combined score, and the scales of its components.
 WEIGHTS = {"aesthetic_score": 0.40, "stability_score": 0.30, "technical_score": 0.20, "motion_score": 0.10}
 MOTION_SCALE = 0.04
 STILL_RATE = 0.0003
