@@ -99,6 +99,13 @@ def account_rows(answer: Column) -> Column:
     return F.transform(kept, lambda r: F.struct(r["platform"].alias("platform"), r["_id"].alias("account_id")))
 
 
+def wanted_accounts(accounts: Column, wanted: Column) -> Column:
+    """Of ``accounts`` (platform to id) those of the ``wanted`` platforms, in the order wanted; all if none is named."""
+    there = F.array_intersect(wanted, F.map_keys(accounts))
+    chosen = F.map_from_arrays(there, F.transform(there, lambda p: F.try_element_at(accounts, p)))
+    return F.when(F.coalesce(F.size(wanted), F.lit(0)) <= 0, accounts).otherwise(chosen)
+
+
 def post_problem(accounts: Column, media_url: Column) -> Column:
     """Why a post can't be made: no account, or a platform that needs media gets none; NULL if it can."""
     bare = F.array_sort(F.array_intersect(F.map_keys(accounts), F.array(*[F.lit(p) for p in MEDIA_ONLY])))

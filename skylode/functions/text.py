@@ -181,6 +181,20 @@ def number_text(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 
+# Fixed value: how times are written as text, in UTC.
+STAMP = "yyyy-MM-dd HH:mm:ss"
+
+
+def stamp(at: Column) -> Column:
+    """A time without zone as text, to the second."""
+    return F.date_format(at, STAMP)
+
+
+def parsed_stamp(text: Column) -> Column:
+    """The time without zone that a text in that form denotes; NULL for any other."""
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), F.try_to_timestamp(text, F.lit(STAMP)).cast("timestamp_ntz"))
+
+
 def known_facts(country: Column, site: Column, captured: Column, lat: Column, lon: Column, seconds: Column) -> Column:
     """What is known of a shot, a line for each fact."""
     named = lambda name, x: F.concat(F.lit(f"{name}: "), present(x))

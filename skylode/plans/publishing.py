@@ -9,7 +9,7 @@ from skylode.functions import render, responses, scoring
 from skylode.functions import text as tx
 from skylode.operators import sequences as seq
 from skylode.plans import sequences as scenes
-from skylode.plans.shaping import _CASED, _LIST, _SHOT, _SRC, _shots, _sources, _with_source
+from skylode.plans.shaping import _CASED, _LIST, _SCORED, _SHOT, _SRC, _shots, _sources, _with_source, a17_rejected
 from skylode.sources.tables import read_table
 
 HEADLINE = "It's 100% real: above"
@@ -203,9 +203,49 @@ def a12_run_counts(spark: SparkSession, folder: str) -> DataFrame:
     return scenes._split(spark, folder).groupBy("cls", F.col("is_window").cast("int").alias("is_window")).agg(F.count(F.lit(1)).alias("pieces"), scoring.rounded(F.sum(F.col("end") - F.col("start")), 3).alias("seconds"))
 
 
+def q20_flagged(spark: SparkSession, folder: str) -> DataFrame:
+    """Shots with the judgement of ``a17_rejected`` written back: judged ones are cleared and flagged anew, the others keep their flag."""
+    shots = _shots(spark, folder, "rejected", "scored_at", "motion_class", "is_window")
+    judged = F.expr("scored_at IS NOT NULL AND (motion_class IS NULL OR motion_class <> 'reposition') AND coalesce(is_window, 1) = 1")
+    j = shots.join(a17_rejected(spark, folder).withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left")
+    return j.select("id", F.when(judged, F.col("__id").isNotNull().cast("int")).otherwise(F.col("rejected")).alias("rejected"), "reason")
+
+
+def q23_ids_by_path(spark: SparkSession, folder: str) -> DataFrame:
+    """The id of each path, as a write by path hands it back."""
+    return _sources(spark, folder, "path").select("path", "id")
+
+
+def a02_latest_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest time, as text, at which a shot of each tier was tagged."""
+    return _shots(spark, folder, "license_tier", "tagged_at").groupBy("license_tier").agg(F.max("tagged_at").alias("latest"))
+
+
+def f35_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Times of shots read from text, moved by a day and written again."""
+    t = tx.parsed_stamp(F.col("scored_at"))
+    return _shots(spark, folder, "scored_at").select("id", F.unix_seconds(t.cast("timestamp")).alias("seconds"), tx.stamp(t + F.expr("INTERVAL 1 DAY")).alias("next_day"))
+
+
+def j04_zipped(spark: SparkSession, folder: str) -> DataFrame:
+    """A scene's merged runs met by place with the ids that they were given."""
+    runs = seq.segment(scenes.samples(spark, folder), "scene", "ord", scenes.WIDTH, scenes.FPS)
+    ids = F.transform(F.col("runs"), lambda r, i: F.col("scene") * 1000 + i)
+    return runs.select("scene", F.explode(F.arrays_zip("runs", ids.alias("ids"))).alias("z")).select("scene", F.col("z.ids").cast("bigint").alias("id"), "z.runs.cls", F.col("z.runs.start").alias("run_start"))
+
+
+def j06_platforms(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts of the platforms that are wanted, in their order; all where none is named."""
+    i = F.col("id")
+    accounts = F.create_map(F.lit("instagram"), F.lit("a"), F.lit("tiktok"), F.lit("b"), F.lit("youtube"), F.lit("c"))
+    wanted = F.when(i % 4 == 0, F.array(F.lit("tiktok"), F.lit("nowhere"), F.lit("instagram"))).when(i % 4 == 1, F.array().cast("array<string>")).when(i % 4 == 2, F.array(F.lit("nowhere")))
+    chosen = responses.wanted_accounts(accounts, wanted)
+    return _sources(spark, folder, "width").select("id", F.array_join(F.transform(F.map_entries(chosen), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("accounts"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (f16_captions, f17_overlays, f18_clips, f22_crop_filters, f24_luma_commands, f26_social_commands, f27_master_commands, f28_content_types, f30_errors, f32_posts, f33_deliveries, f34_published, f38_known_facts, p09_reasons, a11_purge_totals, a12_run_counts, a16_segment_counts, q12_exports, q13_purgeable, q21_stamped, s05_dense_times, u_tag_sets, w21_summaries)
+    for f in (f16_captions, f17_overlays, f18_clips, f22_crop_filters, f24_luma_commands, f26_social_commands, f27_master_commands, f28_content_types, f30_errors, f32_posts, f33_deliveries, f34_published, f38_known_facts, p09_reasons, a11_purge_totals, a12_run_counts, a16_segment_counts, q12_exports, q13_purgeable, q21_stamped, s05_dense_times, u_tag_sets, w21_summaries, q20_flagged, q23_ids_by_path, a02_latest_stamp, f35_stamps, j04_zipped, j06_platforms)
 }
 
 _QUOTED = HEADLINE.replace("'", "''")
@@ -256,6 +296,13 @@ SQL = {
     "q13_purgeable": f"WITH {_OPEN} SELECT id, relpath FROM g",
     "q21_stamped": f"WITH c AS {_SHOT}, s AS {_SRC} SELECT id, CASE WHEN coalesce(duration, 0) = 0 THEN NULL WHEN id IN (SELECT source_id FROM c) THEN coalesce(scene_detected_at, '2026-01-01 00:00:00') ELSE scene_detected_at END AS scene_detected_at FROM s",
     "s05_dense_times": f"WITH c AS {_SRC}, n AS (SELECT id, CASE WHEN duration > 0 THEN CAST(least(ceil(duration * 4), 600) AS INTEGER) ELSE 0 END AS frames FROM c) SELECT id, frames, CASE WHEN frames > 0 THEN (frames - 1) / 4e0 END AS last_time FROM n",
+    "q20_flagged": _SCORED + f""", w AS (SELECT j.id, CASE WHEN low THEN printf('technical below floor (%.2f < 0.15)', floor(k.t * 1e2 + 0.5) / 1e2) ELSE printf('bottom 35%% (< %.3f)', floor(threshold * 1e3 + 0.5) / 1e3) END AS reason FROM j JOIN k ON k.id = j.id CROSS JOIN q WHERE low OR j.combined < threshold - 1e-9)
+        SELECT c.id, CASE WHEN j.id IS NULL THEN c.rejected WHEN w.id IS NULL THEN 0 ELSE 1 END AS rejected, w.reason FROM c LEFT JOIN j ON j.id = c.id LEFT JOIN w ON w.id = c.id""",
+    "q23_ids_by_path": f"WITH c AS {_SRC} SELECT path, id FROM c",
+    "a02_latest_stamp": f"WITH c AS {_SHOT} SELECT license_tier, max(tagged_at) AS latest FROM c GROUP BY license_tier",
+    "f35_stamps": f"WITH c AS {_SHOT}, t AS (SELECT id, CASE WHEN regexp_matches(scored_at, '^\\d{{4}}-\\d\\d-\\d\\d \\d\\d:\\d\\d:\\d\\d$') THEN try_strptime(scored_at, '%Y-%m-%d %H:%M:%S') END AS t FROM c) SELECT id, CAST(epoch(t) AS BIGINT) AS seconds, strftime(t + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS next_day FROM t",
+    "j04_zipped": scenes.SQL["w07_segment"].replace("SELECT scene, run, cls, run_start, run_end FROM", "SELECT scene, scene * 1000 + run AS id, cls, run_start FROM"),
+    "j06_platforms": f"WITH c AS {_SRC} SELECT id, CASE id % 4 WHEN 0 THEN 'tiktok=b;instagram=a' WHEN 2 THEN '' ELSE 'instagram=a;tiktok=b;youtube=c' END AS accounts FROM c",
     "u_tag_sets": f"""WITH c AS {_SHOT}, l AS (SELECT id, list_filter(list_distinct({_LIST.format(c="subject_tags")}), lambda x: x IS NOT NULL) AS a, list_filter(list_distinct({_LIST.format(c="mood_tags")}), lambda x: x IS NOT NULL) AS b FROM c)
         SELECT id, array_to_string(list_sort(list_distinct(list_concat(a, b))), '|') AS either, array_to_string(list_sort(list_filter(a, lambda x: list_contains(b, x))), '|') AS both,
         array_to_string(list_sort(list_filter(a, lambda x: NOT list_contains(b, x))), '|') AS only_subject, CASE WHEN len(list_filter(b, lambda x: NOT list_contains(a, x))) = 0 THEN 1 ELSE 0 END AS mood_within FROM l""",
