@@ -192,7 +192,7 @@ def stamp(at: Column) -> Column:
 
 def parsed_stamp(text: Column) -> Column:
     """The time without zone that a text in that form denotes; NULL for any other."""
-    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), F.try_to_timestamp(text, F.lit(STAMP)).cast("timestamp_ntz"))
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), text.try_cast("timestamp_ntz"))
 
 
 def known_facts(country: Column, site: Column, captured: Column, lat: Column, lon: Column, seconds: Column) -> Column:

@@ -223,8 +223,9 @@ def a02_latest_stamp(spark: SparkSession, folder: str) -> DataFrame:
 
 def f35_stamps(spark: SparkSession, folder: str) -> DataFrame:
     """Times of shots read from text, moved by a day and written again."""
-    t = tx.parsed_stamp(F.col("scored_at"))
-    return _shots(spark, folder, "scored_at").select("id", F.unix_seconds(t.cast("timestamp")).alias("seconds"), tx.stamp(t + F.expr("INTERVAL 1 DAY")).alias("next_day"))
+    s = _shots(spark, folder, "scored_at").select("id", tx.parsed_stamp(F.col("scored_at")).alias("t"))
+    seconds = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01', t)")  # whatever the session's zone is
+    return s.select("id", seconds.alias("seconds"), tx.stamp(F.col("t") + F.expr("INTERVAL 1 DAY")).alias("next_day"))
 
 
 def j04_zipped(spark: SparkSession, folder: str) -> DataFrame:

@@ -97,6 +97,11 @@ def test_number_texts(spark, x, want):
     assert values(spark, tx.number_text(F.col("x")), [(x,)], "x double") == [want]
 
 
+def test_stamps(spark):
+    rows = [("2024-02-29 23:59:59",), ("2023-02-29 00:00:00",), ("2024-1-1 00:00:00",), ("2024-01-01T00:00:00",), (None,), ("2024-01-01 24:00:00",)]
+    assert values(spark, tx.stamp(tx.parsed_stamp(F.col("x"))), rows, "x string") == ["2024-02-29 23:59:59", None, None, None, None, None]
+
+
 def test_vendor_tags_go_first(spark):
     doc = {"format": {"duration": "42.5", "tags": {"com.apple.quicktime.location.ISO6709": "+41.3275+019.8187/", "location": "+1+1/", "com.apple.quicktime.make": "", "make": "M", "Com.Apple.QuickTime.Model": "X"}}, "streams": [{"codec_type": "video", "width": 3840, "height": 2160, "tags": {"model": "lens", "creation_time": "t"}}]}
     p = files.probe_fields(F.col("d"))
