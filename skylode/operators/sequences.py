@@ -115,22 +115,32 @@ def merge_short_runs(runs: Column, m: Motion = Motion()) -> Column:
     """Runs shorter than their class may be, first to last, join their longer neighbour and take its class.
 
     Equal neighbours: the one before. Equal classes that then adjoin become one run. A single run stays.
+    All before the first short run are long enough, and stay so when they grow; so one pass does, in which a short run waits for
+    the one after it.
     """
+    kind = f"struct<done: {RUN}, open: struct<start: double, end: double, cls: string>>"
+
     def short(r: Column) -> Column:
         return _length(r) < F.when(usable(r["cls"]), m.min_seconds).otherwise(m.min_reposition)
 
-    def absorb(acc: Column, at: Column) -> Column:
-        before, here, after = F.get(acc, at - 2), F.get(acc, at - 1), F.get(acc, at)
-        back = after.isNull() | F.coalesce(_length(before) >= _length(after), F.lit(False))
-        first = F.when(back, at - 1).otherwise(at)
-        whole = F.when(back, _run(before["start"], here["end"], before["cls"])).otherwise(_run(here["start"], after["end"], after["cls"]))
-        return F.concat(F.slice(acc, F.lit(1), F.greatest(F.lit(0), first - 1)), F.array(whole), F.slice(acc, first + 2, F.size(acc))).cast(RUN)
+    def add(done: Column, r: Column) -> Column:
+        nothing = F.lit(None).cast("struct<start: double, end: double, cls: string>")
+        return F.when(short(r), F.struct(done.alias("done"), r.alias("open"))).otherwise(F.struct(F.concat(done, F.array(r)).alias("done"), nothing.alias("open"))).cast(kind)
+
+    def grown(done: Column, last: Column, r: Column) -> Column:
+        return F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(_run(last["start"], r["end"], last["cls"]))).cast(RUN)
+
+    def step(s: Column, r: Column) -> Column:
+        last, waiting = F.get(s["done"], F.size(s["done"]) - 1), s["open"]
+        back = F.coalesce(_length(last) >= _length(r), F.lit(False))
+        return F.when(waiting.isNull(), add(s["done"], r)).when(back, add(grown(s["done"], last, waiting), r)).otherwise(add(s["done"], _run(waiting["start"], r["end"], r["cls"]))).cast(kind)
 
-    def step(acc: Column, _: Column) -> Column:
-        at = F.array_position(F.transform(acc, short), F.lit(True)).cast("int")
-        return let(at, lambda i: F.when((F.size(acc) > 1) & (i > 0), absorb(acc, i)).otherwise(acc)).cast(RUN)
+    def end(s: Column) -> Column:
+        last = F.get(s["done"], F.size(s["done"]) - 1)
+        return F.when(s["open"].isNull(), s["done"]).when(last.isNull(), F.array(s["open"])).otherwise(grown(s["done"], last, s["open"])).cast(RUN)
 
-    merged = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(runs))), runs.cast(RUN), step)
+    zero = F.struct(F.array().cast(RUN).alias("done"), F.lit(None).cast("struct<start: double, end: double, cls: string>").alias("open")).cast(kind)
+    merged = F.aggregate(runs.cast(RUN), zero, step, end)
     return F.when(F.size(runs) < 2, runs).otherwise(_join_neighbours(merged, lambda a, b: a["cls"] == b["cls"], lambda a, b: a["cls"]))
 
 
