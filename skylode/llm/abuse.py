@@ -235,7 +235,7 @@ class Ftrl:
     The intercept stays at ``base``, the log odds of a passage of which nothing is known.
     """
 
-    def __init__(self, n: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.2, l2: float = 1.0, base: float = -3.0):
+    def __init__(self, n: int, alpha: float = 0.7, beta: float = 1.0, l1: float = 0.2, l2: float = 1.0, base: float = -3.0):
         self.alpha, self.beta, self.l1, self.l2, self.base = alpha, beta, l1, l2, base
         self.z, self.n = np.zeros(n), np.zeros(n)
 
@@ -274,7 +274,7 @@ class Model:
     weight: np.ndarray
     bias: float
     lexicon: dict[str, tuple[int, float]]
-    threshold: float = 0.38
+    threshold: float = 0.18
     _table: np.ndarray | None = field(default=None, repr=False)
     _words: Lexicon | None = field(default=None, repr=False)
 
@@ -349,14 +349,15 @@ def _passage_sets(tokens: Sequence[Sequence[int]], shape: Shape, chunk: int = 51
     return np.concatenate(texts), np.concatenate(which), np.concatenate(at), np.array(sizes, np.int64)
 
 
-def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(), *, mistakes: float = 0.08, warm: int = 3, rounds: int = 10, batch: int = 64, most_weight: int = 1000, seed: int = 11, threshold: float = 0.38, **rates: float) -> Model:
+def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(), *, mistakes: float = 0.08, warm: int = 3, rounds: int = 10, averaged: int = 5, batch: int = 64, most_weight: int = 1000, seed: int = 11, threshold: float = 0.18, **rates: float) -> Model:
     """A model of labelled texts.
 
     ``votes`` is a text's number of votes for abusive less those against it; each is a mistake with the chance
     ``mistakes``, so that it moves the log odds by a known step. The text is abusive if any of its passages is: votes against it
     speak against each passage, votes for it speak for the one that the model finds worst at the time, and
     a draw says nothing. The first ``warm`` of all passes see only texts voted harmless, so that the words of such
-    texts are familiar before any passage has to be blamed; ``rounds`` more see both. Equal passages of harmless texts are
+    texts are familiar before any passage has to be blamed; ``rounds`` more see both, and the
+    weights are the mean of those after the last ``averaged`` ones. Equal passages of harmless texts are
     learnt as one, with the weight of up to ``most_weight`` of them. Without votes for or against, every text scores
     as the prior.
     """
@@ -373,6 +374,7 @@ def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(),
     mean = np.bincount(which[good], weights=evidence[good], minlength=len(size)) / np.maximum(1, count)
     harmless = np.flatnonzero(count)
     accused = np.flatnonzero(evidence > 0)
+    w = np.zeros(n)
     rng = np.random.default_rng(seed)
     for i in range(warm + rounds):
         sets, moved, weight = harmless, mean[harmless], np.minimum(most_weight, count[harmless]).astype(float)
@@ -387,7 +389,8 @@ def train(texts: Sequence[str], votes: Sequence[float], shape: Shape = Shape(),
             k = size[sets[now]]
             where = np.repeat(offset[sets[now]] - np.cumsum(k) + k, k) + np.arange(k.sum())
             model.learn(at[where], k, moved[now], weight[now])
-    w = model.weights()
+        if i >= warm + rounds - averaged:
+            w += model.weights() / averaged
     kept = np.flatnonzero(w)
     return Model(shape, kept, w[kept], model.base, lexicon, threshold)
 
